@@ -4,10 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from threadmill.llm import encode, mixing, splitting
+from threadmill.llm import encode, mixing, ranking, rebuild, splitting
 from threadmill.session import table
 
 
+def p5_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation with its median and mean rank."""
+    return ranking.aggregate(table(spark, folder, "conv_index"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return ranking.top(table(spark, folder, "conv_index"), 10).select("rec_key")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return rebuild.dropped(table(spark, folder, "messages"), table(spark, folder, "conv_heads"))
+
+
+def p6_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """The kept conversations as ordered turns."""
+    return rebuild.Rebuilt(table(spark, folder, "messages"), table(spark, folder, "conv_heads")).turns()
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode.encode(table(spark, folder, "documents"))
 
@@ -35,5 +53,60 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return p10_pieces(spark, folder).where("piece_no = 1").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p9_found, p9_report, p9_shares, p10_found, p10_pieces)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p5_found, p5_ranking, p6_found, p6_turns, p8_ids, p9_found, p9_report, p9_shares, p10_found, p10_pieces)}
+
+_RANKED = """
+WITH newest AS (
+  SELECT coalesce(nullif(conversation_id, ''), file) AS rec_key,
+         row_number() OVER (PARTITION BY coalesce(nullif(conversation_id, ''), file)
+           ORDER BY user_turns DESC NULLS LAST, exported_at DESC NULLS LAST, authored_words DESC NULLS LAST, own_voice_words DESC NULLS LAST,
+                    max_user_turn_words DESC NULLS LAST, code_ratio DESC NULLS LAST) AS k,
+         authored_words, own_voice_words, max_user_turn_words, code_ratio
+  FROM conv_index WHERE coalesce(nullif(conversation_id, ''), file) IS NOT NULL),
+ranked AS (
+  SELECT rec_key,
+         [rank() OVER (ORDER BY authored_words DESC NULLS LAST), rank() OVER (ORDER BY own_voice_words DESC NULLS LAST),
+          rank() OVER (ORDER BY max_user_turn_words DESC NULLS LAST), rank() OVER (ORDER BY code_ratio ASC NULLS LAST)] AS r
+  FROM newest WHERE k = 1)
+SELECT rec_key, (list_sort(r)[2] + list_sort(r)[3]) / 2.0::DOUBLE AS median_rank, list_sum(r)::DOUBLE / 4 AS mean_rank FROM ranked"""
+
+_DROPPED = r"""
+WITH RECURSIVE
+node AS (
+  SELECT conversation_id, node_id, node_pos, parent, lower(trim(role)) AS role,
+         lower(trim(role)) IN ('user', 'assistant') AND NOT coalesce(hidden, false) AND content_type IN ('text', 'multimodal_text')
+           AND len(list_filter(parts, p -> regexp_matches(
+             CASE WHEN regexp_matches(p, '^\s*\{') AND json_valid(p) THEN coalesce(json_extract_string(p, '$.text'), '') ELSE p END, '\S'))) > 0 AS turn
+  FROM messages
+  QUALIFY row_number() OVER (PARTITION BY conversation_id, node_id ORDER BY ingested_at DESC) = 1),
+head AS (
+  SELECT conversation_id, current_node FROM conv_heads WHERE conversation_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY conversation_id ORDER BY exported_at DESC) = 1),
+named AS (SELECT DISTINCT conversation_id, parent FROM node WHERE parent IS NOT NULL),
+leaf AS (
+  SELECT n.conversation_id, max_by(n.node_id, n.node_pos) AS node_id FROM node n
+  ANTI JOIN named p ON p.conversation_id = n.conversation_id AND p.parent = n.node_id GROUP BY 1),
+start AS (
+  SELECT h.conversation_id, coalesce(n.node_id, l.node_id) AS node_id FROM head h
+  LEFT JOIN node n ON n.conversation_id = h.conversation_id AND n.node_id = h.current_node
+  LEFT JOIN leaf l ON l.conversation_id = h.conversation_id),
+path(conversation_id, node_id, far) AS (
+  SELECT conversation_id, node_id, 0 FROM start WHERE node_id IS NOT NULL
+  UNION ALL
+  SELECT p.conversation_id, n.parent, p.far + 1 FROM path p JOIN node n ON n.conversation_id = p.conversation_id AND n.node_id = p.node_id
+  WHERE n.parent IS NOT NULL AND p.far <= (SELECT count(*) FROM node x WHERE x.conversation_id = p.conversation_id)),
+walked AS (
+  SELECT p.conversation_id, bool_or(n.parent IS NULL AND n.node_id IS NOT NULL) AS ok, min_by(n.role, p.far) FILTER (n.turn) AS last_turn
+  FROM path p LEFT JOIN node n ON n.conversation_id = p.conversation_id AND n.node_id = p.node_id GROUP BY 1),
+verdict AS (
+  SELECT h.conversation_id,
+         CASE WHEN h.conversation_id NOT IN (SELECT conversation_id FROM node) THEN 'empty'
+              WHEN NOT coalesce(w.ok, false) THEN 'broken' WHEN w.last_turn IS NULL THEN 'empty' WHEN w.last_turn = 'user' THEN 'no_reply' END AS reason
+  FROM head h LEFT JOIN walked w USING (conversation_id))
+SELECT conversation_id, reason FROM verdict WHERE reason IS NOT NULL"""
+
+SQL = {
+    "p5_ranking": _RANKED,
+    "p5_found": f"SELECT rec_key FROM ({_RANKED}) ORDER BY median_rank, mean_rank, rec_key LIMIT 10",
+    "p6_found": _DROPPED,
+}

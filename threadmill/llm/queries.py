@@ -75,7 +75,7 @@ WITH RECURSIVE
 node AS (
   SELECT conversation_id, node_id, node_pos, parent, lower(trim(role)) AS role,
          lower(trim(role)) IN ('user', 'assistant') AND NOT coalesce(hidden, false) AND content_type IN ('text', 'multimodal_text')
-           AND len(list_filter(parts, p -> regexp_matches(
+           AND len(list_filter(parts, lambda p: regexp_matches(
              CASE WHEN regexp_matches(p, '^\s*\{') AND json_valid(p) THEN coalesce(json_extract_string(p, '$.text'), '') ELSE p END, '\S'))) > 0 AS turn
   FROM messages
   QUALIFY row_number() OVER (PARTITION BY conversation_id, node_id ORDER BY ingested_at DESC) = 1),

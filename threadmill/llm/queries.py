@@ -3,11 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from threadmill.llm import encode, mixing, ranking, rebuild, splitting
+from threadmill.llm import encode, mixing, ranking, rebuild, spans, splitting
 from threadmill.session import table
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return spans.Shared(table(spark, folder, "messages")).pairs()
+
+
+def p4_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """How much of each message stands elsewhere, beside what the index counts as echoed in its conversation."""
+    messages = table(spark, folder, "messages")
+    echoed = table(spark, folder, "conv_index").groupBy("conversation_id").agg(F.max("echoed_words").alias("echoed_words"))
+    home = messages.groupBy("msg_id").agg(F.min("conversation_id").alias("conversation_id"))
+    return spans.Shared(messages).shares().join(home, "msg_id", "left").join(echoed, "conversation_id", "left")
+
+
+def p4_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    """The long parts without the passages an earlier message holds."""
+    return spans.Shared(table(spark, folder, "messages")).cleaned().select("msg_id", "kept")
+
+
 def p5_ranking(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation with its median and mean rank."""
     return ranking.aggregate(table(spark, folder, "conv_index"))
@@ -53,7 +71,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return p10_pieces(spark, folder).where("piece_no = 1").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_ranking, p6_found, p6_turns, p8_ids, p9_found, p9_report, p9_shares, p10_found, p10_pieces)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_shares, p4_cleaned, p5_found, p5_ranking, p6_found, p6_turns, p8_ids, p9_found, p9_report, p9_shares, p10_found, p10_pieces)}
 
 _RANKED = """
 WITH newest AS (

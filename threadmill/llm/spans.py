@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadmill.llm.parts import part_text_column
-from threadmill.session import cut
+from threadmill.session import cut, stored
 
 LEAST = 240
 #: Consecutive units in a run, and the longest stretch without a cut. Any span of LEAST characters then holds a whole run:
@@ -135,7 +135,9 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in _slices(texts):
             t = Texts(texts[a:b])
             start, _, h = t.runs()
-            yield pa.record_batch({"run": pa.array(h), "tid": pa.array(tids[a:b][t.owner[start]])})
+            # a run that stands in one text several times counts once
+            owner, h = np.unique(np.stack([t.owner[start], h]), axis=1)
+            yield pa.record_batch({"run": pa.array(h), "tid": pa.array(tids[a:b][owner])})
 
 
 def _grid_windows(t: Texts, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -205,21 +207,21 @@ class Shared:
 
     def repeated_runs(self) -> DataFrame:
         """(run, tid) of runs that stand in more than one text."""
-        runs = cut(self.parts.select("tid", "text").mapInArrow(_runs, "run long, tid long").distinct())
+        runs = stored(self.parts.select("tid", "text").mapInArrow(_runs, "run long, tid long"))
         often = runs.groupBy("run").agg(F.min("tid").alias("a"), F.max("tid").alias("b")).where("a <> b").select("run")
         return runs.join(often, "run", "left_semi")
 
     def windows(self) -> DataFrame:
         """(g1, g2, tid, t2, at): every window of LEAST characters around repeated grid windows."""
-        marks = self.repeated_runs().groupBy("tid").agg(F.collect_list("run").alias("marks"))
-        grids = cut(self._texts(marks).mapInArrow(_grids, "window long, tid long, t2 long").distinct())
+        marks = self.repeated_runs().groupBy("tid").agg(F.collect_set("run").alias("marks"))
+        grids = stored(self._texts(marks).mapInArrow(_grids, "window long, tid long, t2 long").distinct())
         often = grids.groupBy("window").agg(F.min("tid").alias("a"), F.max("tid").alias("b")).where("a <> b").select("window")
         marks = grids.join(often, "window", "left_semi").groupBy("tid").agg(F.collect_set("window").alias("marks"))
         return self._texts(marks).mapInArrow(_spans, "g1 long, g2 long, tid long, t2 long, at int")
 
     def shared_windows(self) -> DataFrame:
         """(g1, g2, tid, t2, at): the windows that stand in more than one text."""
-        windows = cut(self.windows())
+        windows = stored(self.windows())
         often = windows.groupBy("g1", "g2").agg(F.min("tid").alias("a"), F.max("tid").alias("b")).where("a <> b").select("g1", "g2")
         return windows.join(often, ["g1", "g2"], "left_semi")
 

@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmill.llm import encode, mixing, ranking, rebuild, spans, splitting
+from threadmill.llm import encode, mixing, pii, ranking, rebuild, spans, splitting
 from threadmill.session import table
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.found(table(spark, folder, "messages"))
+
+
+def p2_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message's parts with typed placeholders."""
+    return pii.redacted(table(spark, folder, "messages"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return spans.Shared(table(spark, folder, "messages")).pairs()
 
@@ -71,7 +80,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return p10_pieces(spark, folder).where("piece_no = 1").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_shares, p4_cleaned, p5_found, p5_ranking, p6_found, p6_turns, p8_ids, p9_found, p9_report, p9_shares, p10_found, p10_pieces)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_shares, p4_cleaned, p5_found, p5_ranking, p6_found, p6_turns, p8_ids, p9_found, p9_report, p9_shares, p10_found, p10_pieces)}
 
 _RANKED = """
 WITH newest AS (

@@ -1,30 +1,5 @@
 """The text of message parts."""
 
-from __future__ import annotations
+from threadmill.functions.text import part_text, part_text_column
 
-import json
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
-def part_text(part: str | None) -> str:
-    """A plain string as it is; of a JSON object its text field, '' without one; '' for null."""
-    if not part:
-        return ""
-    if part.lstrip()[:1] == "{":
-        try:
-            value = json.loads(part)
-        except (ValueError, RecursionError):
-            return part
-        if isinstance(value, dict):
-            text = value.get("text")
-            return text if isinstance(text, str) else ""
-    return part
-
-
-def part_text_column(part: Column) -> Column:
-    """The same inside the JVM."""
-    value = F.try_parse_json(part)
-    as_object = F.coalesce(F.try_variant_get(value, "$.text", "string"), F.lit(""))
-    return F.when(part.rlike(r"\A\s*\{") & value.isNotNull(), as_object).otherwise(F.coalesce(part, F.lit("")))
+__all__ = ["part_text", "part_text_column"]

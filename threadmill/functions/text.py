@@ -97,9 +97,9 @@ def nfkc(text: Column) -> Column:
     # one literal instead of hundreds of expressions; folded to a constant by the optimizer
     forms = F.from_json(F.lit(json.dumps([{"c": c, "f": f} for c, f in several])), "array<struct<c: string, f: string>>")
     marks = r"[\x{300}-\x{36F}]"
-    bare = F.when(text.rlike(marks), F.regexp_replace(text, composed(), " ")).otherwise(text)
-    unfolded = F.when(text.rlike(ranges("".join(c for c, _ in several))), F.aggregate(forms, bare, lambda t, m: F.replace(t, m["c"], m["f"]))).otherwise(bare)
+    unfolded = F.when(text.rlike(ranges("".join(c for c, _ in several))), F.aggregate(forms, text, lambda t, m: F.replace(t, m["c"], m["f"]))).otherwise(text)
     flat = F.translate(unfolded, source, target)
+    flat = F.when(text.rlike(marks), F.regexp_replace(flat, composed(), " ")).otherwise(flat)
     return F.when(text.rlike(f"{marks}|{ranges(source + ''.join(c for c, _ in several))}"), flat).otherwise(text)
 
 

@@ -37,8 +37,8 @@ def strip(x: str) -> str:
 def norm(x: str) -> str:
     """Lower case [a-z0-9] words. Characters that unfold to several are spelt out only where a text has them."""
     source, target, several = X.compatibility()
-    unfolded = f"list_reduce(list_prepend(nfc_normalize({x}), [{', '.join(q(a + b) for a, b in several)}]), lambda t, m: replace(t, m[1], m[2:]))"
-    flat = f"translate(CASE WHEN regexp_matches({x}, {q('[' + ''.join(a for a, _ in several) + ']')}) THEN {unfolded} ELSE nfc_normalize({x}) END, {q(source)}, {q(target)})"
+    unfolded = f"list_reduce(list_prepend({x}, [{', '.join(q(a + b) for a, b in several)}]), lambda t, m: replace(t, m[1], m[2:]))"
+    flat = f"nfc_normalize(translate(CASE WHEN regexp_matches({x}, {q('[' + ''.join(a for a, _ in several) + ']')}) THEN {unfolded} ELSE {x} END, {q(source)}, {q(target)}))"
     return f"trim(regexp_replace(lower(CASE WHEN regexp_matches({x}, '[^\\x00-\\x7F]') THEN {flat} ELSE {x} END), '[^a-z0-9]+', ' ', 'g'))"
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -24,12 +26,18 @@ def local_session(app: str = "threadmill", cores: str = "8", partitions: int = 8
     )
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset (local runs)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = os.environ.get("THREADMILL_CHECKPOINTS") or tempfile.mkdtemp(prefix="threadmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = os.environ.get("THREADMILL_CHECKPOINTS") or tempfile.mkdtemp(prefix="threadmill-")
+            atexit.register(shutil.rmtree, _OWN[app], True)
+        folder = _OWN[app]
     return folder
 
 

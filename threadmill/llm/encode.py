@@ -72,6 +72,8 @@ SELECT w, list(tok ORDER BY i) AS ids
 FROM step SEMI JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n) GROUP BY w
 """
 SHORT_BYTES = 60
+#: Beyond this a single word would make more token-position rows than a worker should hold; it is merged from a heap instead.
+HEAP_BYTES = 16_384
 
 
 def byte_names() -> dict[int, str]:
@@ -97,7 +99,8 @@ class Encoder:
         assert made == sorted(made), "ids must rise with the rank of the merge"
         self.split = regex.compile(PATTERN).findall
         self.known: dict[str, bytes] = {}
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.pairs: dict[tuple[int, int], int] | None = None
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         table = pa.table({"a": pa.array([ids[a] for a, _ in merges], pa.int32()), "b": pa.array([ids[b] for _, b in merges], pa.int32()), "made": pa.array(made, pa.int32())})
         self.con.register("merge_rows", table)
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
@@ -106,6 +109,10 @@ class Encoder:
     def learn(self, words: list[str]) -> None:
         """Find the ids of words, in chunks of bounded size; a very long word is a chunk of its own."""
         raws = [(w, w.encode("utf-8", "surrogatepass")) for w in words]
+        for w, raw in raws:
+            if len(raw) > HEAP_BYTES:
+                self.known[w] = self._merge_heap(raw)
+        raws = [x for x in raws if len(x[1]) <= HEAP_BYTES]
         for query, group in ((MERGE_SHORT, [x for x in raws if len(x[1]) <= SHORT_BYTES]), (MERGE_LONG, [x for x in raws if len(x[1]) > SHORT_BYTES])):
             start, size = 0, 0
             for i, (_, raw) in enumerate(group):
@@ -136,6 +143,34 @@ class Encoder:
         for w, start, end in zip(found.column("w").to_pylist(), offsets[:-1], offsets[1:]):
             self.known[names[w]] = ids[start:end].tobytes()
 
+    def _merge_heap(self, raw: bytes) -> bytes:
+        """The same contraction for one huge word: least rank, then leftmost, from a heap over a linked list."""
+        import heapq
+
+        import numpy as np
+
+        if self.pairs is None:
+            rows = self.con.sql("SELECT a, b, made FROM merges").fetchall()
+            self.pairs = {(a, b): m for a, b, m in rows}
+        tok = [self.byte_ids[b] for b in raw]
+        after, before = [*range(1, len(tok)), -1], [-1, *range(len(tok) - 1)]
+        heap = [(m, i, tok[i], tok[i + 1]) for i in range(len(tok) - 1) if (m := self.pairs.get((tok[i], tok[i + 1]))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            made, i, a, b = heapq.heappop(heap)
+            j = after[i] if tok[i] == a else -1
+            if j < 0 or tok[j] != b:
+                continue
+            tok[i], tok[j] = made, -1
+            after[i] = after[j]
+            if after[i] >= 0:
+                before[after[i]] = i
+            for x in (before[i], i):
+                y = after[x] if x >= 0 else -1
+                if y >= 0 and (m := self.pairs.get((tok[x], tok[y]))) is not None:
+                    heapq.heappush(heap, (m, x, tok[x], tok[y]))
+        return np.array([t for t in tok if t >= 0], np.int32).tobytes()
+
     def words(self, texts: list[str | None]) -> list[list[str]]:
         """The words of each text, all of them known afterwards."""
         split = [self.split(t) if t else [] for t in texts]

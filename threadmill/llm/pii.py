@@ -57,7 +57,7 @@ def lowered(text: str) -> str:
 
 AT = ("@", "(at)", "[at]", "{at}", "<at>", " at ")
 ID_CUES = (
-    "social security", "ssn", "my social", "nino", "ni no", "national insurance", "insurance no", "insurance number", "steuer", "sozialversicherung", "mon nir", "nir ", "numéro de sécu", "sécurité sociale", "dni", "nie ", "nif",
+    "social security", "ssn", "my social", "social, ", "social is", "social:", "nino", "ni no", "national insurance", "insurance no", "insurance number", "steuer", "sozialversicherung", "mon nir", "nir ", "numéro de sécu", "sécurité sociale", "dni", "nie ", "nif",
     "passport", "passeport", "reisepass", "pasaporte", "licence", "license", "permis de conduire", "führerschein", "tax id", "taxpayer", "tax number", "itin", "ausweis", "carnet de conducir", "identity card", "id card", "identity number", "cédula",
 )
 PHONE_CUES = ("number is", "phone", "tel", "call", "mobile", "whatsapp", "erreichbar", "text ", "cell", "handy", "fax", "sms", "teléfono", "móvil", "téléphone", "portable", "ring me", "reach me on", "dial")

@@ -174,7 +174,7 @@ class Rebuilt:
         self.entries = cut(self.exits.join(entry, ["conversation_id", "exit_to"]))
         self.edges = tops.join(self.entries.select("conversation_id", "exit_to", "to_top"), ["conversation_id", "exit_to"])
         self.starts = self._starts()
-        self.rooted = self._rooted()
+        self.rooted = cut(self._rooted())
 
     def _starts(self) -> DataFrame:
         local = self.local.select("conversation_id", "node_id", "node_pos", "block", "kind", "top", "exit_to", "hops", "last_turn", "unnamed")
@@ -196,12 +196,15 @@ class Rebuilt:
         return reached.select(split[0].alias("conversation_id"), split[1].alias("top")).unionByName(roots.select("conversation_id", "top")).distinct()
 
     def _jumps(self) -> DataFrame:
-        return self.entries.select("conversation_id", F.col("exit_to").alias("entry"), "next", "last_turn", (F.col("hops") + 1).cast("long").alias("far"))
+        """Steps between blocks on ways that end at a root, so every chain of them ends."""
+        ending = self.entries.join(self.rooted.withColumnRenamed("top", "to_top"), ["conversation_id", "to_top"], "left_semi")
+        return ending.select("conversation_id", F.col("exit_to").alias("entry"), "next", "last_turn", (F.col("hops") + 1).cast("long").alias("far"))
 
     def last_turns(self) -> DataFrame:
         """(conversation_id, last_turn): the nearest turn at or above the start, across blocks by pointer doubling."""
-        done = self.starts.where("last_turn is not null or kind <> 'exit'").select("conversation_id", "last_turn")
-        open_ = self.starts.where("last_turn is null and kind = 'exit'").select("conversation_id", F.col("exit_to").alias("entry"))
+        whole = self.starts.join(self.rooted, ["conversation_id", "top"], "left_semi")
+        done = whole.where("last_turn is not null or kind <> 'exit'").select("conversation_id", "last_turn")
+        open_ = whole.where("last_turn is null and kind = 'exit'").select("conversation_id", F.col("exit_to").alias("entry"))
         jumps = self._jumps().drop("far")
         for _ in range(40):
             open_ = cut(open_)
@@ -224,8 +227,9 @@ class Rebuilt:
 
     def path_entries(self) -> DataFrame:
         """(conversation_id, entry, base): the rows by which the path enters its blocks, with their distance from the start."""
-        marks = self.starts.select("conversation_id", F.col("node_id").alias("entry"), F.lit(0).cast("long").alias("base"))
-        own = self.starts.where("kind = 'exit'").select("conversation_id", F.col("node_id").alias("entry"), F.col("exit_to").alias("next"), (F.col("hops") + 1).cast("long").alias("far"))
+        whole = self.starts.join(self.rooted, ["conversation_id", "top"], "left_semi")
+        marks = whole.select("conversation_id", F.col("node_id").alias("entry"), F.lit(0).cast("long").alias("base"))
+        own = whole.where("kind = 'exit'").select("conversation_id", F.col("node_id").alias("entry"), F.col("exit_to").alias("next"), (F.col("hops") + 1).cast("long").alias("far"))
         # a start may be an entry too: one row each
         jumps = cut(self._jumps().select("conversation_id", "entry", "next", "far").where("next is not null").unionByName(own).distinct())
         for _ in range(40):

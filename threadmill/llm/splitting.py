@@ -75,20 +75,37 @@ def _units(words: list[str], enc: Encoder, most: int) -> tuple[list[str], list[i
     return units, counts, hard
 
 
-def split_text(text: str, enc: Encoder, limit: int = LIMIT, overlap: int = OVERLAP) -> list[dict]:
-    """Pieces of one text; [] if it holds no more than ``limit`` tokens."""
-    (words,) = enc.words([text])
-    if sum(len(enc.known[w]) for w in words) // 4 <= limit:
+def _count(units: list[str], tokens: list[int], hard: list[int], a: int, b: int, enc: Encoder) -> int:
+    """Tokens of the text of units a to b, standing alone.
+
+    Words are found from left to right by what follows only, so a piece that
+    begins with a word has the words of the whole text, but for the white space
+    at its end, which is one word there. Pieces with parts of cut words are encoded anew.
+    """
+    if bisect_left(hard, a) != bisect_right(hard, b):
+        return enc.counts(["".join(units[a:b])])[0]
+    tail = b
+    while tail > a and units[tail - 1].isspace():
+        tail -= 1
+    return tokens[tail] - tokens[a] + (enc.counts(["".join(units[tail:b])])[0] if tail < b else 0)
+
+
+def split_text(text: str, enc: Encoder, limit: int = LIMIT, overlap: int = OVERLAP, words: list[str] | None = None) -> list[dict]:
+    """Pieces of one text; [] if it holds no more than ``limit`` tokens. ``words``: its words, if they are known already."""
+    if words is None:
+        (words,) = enc.words([text])
+    if sum(map(len, map(enc.known.__getitem__, words))) // 4 <= limit:
         return []
     units, counts, hard = _units(words, enc, max(1, limit // 8))
     strong = [0 if h else s for s, h in zip(strengths(units), hard)]
+    parted = [i for i, h in enumerate(hard) if h]
     tokens = [0, *accumulate(counts)]
     chars = [0, *accumulate(map(len, units))]
     n = tokens[-1]
     pieces = max(2, -(-(n - overlap) // max(1, limit - overlap)))
     while True:
         cuts = _cuts(tokens, strong, pieces, limit)
-        found = _pieces(text, units, strong, tokens, chars, cuts, limit, overlap, enc)
+        found = _pieces(text, units, strong, tokens, chars, parted, cuts, limit, overlap, enc)
         if found is not None or pieces > len(units):
             return found or []
         pieces += 1
@@ -107,7 +124,7 @@ def _cuts(tokens: list[int], strong: list[int], pieces: int, limit: int) -> list
     return cuts
 
 
-def _pieces(text: str, units: list[str], strong: list[int], tokens: list[int], chars: list[int], cuts: list[int], limit: int, overlap: int, enc: Encoder) -> list[dict] | None:
+def _pieces(text: str, units: list[str], strong: list[int], tokens: list[int], chars: list[int], parted: list[int], cuts: list[int], limit: int, overlap: int, enc: Encoder) -> list[dict] | None:
     out = []
     bounds = [0, *cuts, len(units)]
     if any(a >= b for a, b in zip(bounds, bounds[1:])):
@@ -122,15 +139,14 @@ def _pieces(text: str, units: list[str], strong: list[int], tokens: list[int], c
             inside = [i for i in range(low, a) if strong[i] >= 3]
             start = inside[0] if inside else next((i for i in range(low, a) if strong[i] >= 1), low)
         while True:
-            piece = text[chars[start]:chars[b]]
-            (count,) = enc.counts([piece])
-            (shared,) = enc.counts([text[chars[start]:chars[a]]]) if start < a else (0,)
+            count = _count(units, tokens, parted, start, b, enc)
+            shared = _count(units, tokens, parted, start, a, enc) if start < a else 0
             if count <= limit and shared <= overlap:
                 break
             if start >= a:
                 return None
             start += 1
-        out.append({"piece_no": j, "start_char": chars[start], "new_from": chars[a], "end_char": chars[b], "n_tokens": count, "overlap_tokens": shared, "boundary": STRENGTHS[strong[a]] if a else "start", "piece": piece})
+        out.append({"piece_no": j, "start_char": chars[start], "new_from": chars[a], "end_char": chars[b], "n_tokens": count, "overlap_tokens": shared, "boundary": STRENGTHS[strong[a]] if a else "start", "piece": text[chars[start]:chars[b]]})
     return out
 
 
@@ -145,8 +161,7 @@ def _splitting(vocabulary: str, limit: int, overlap: int) -> Callable[[Iterator[
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for start, end in slices(texts):
                 part = texts[start:end]
-                sizes = enc.counts(part)
-                out = [{"doc_id": i, **p} for i, t, n in zip(ids[start:end], part, sizes) if n > limit for p in split_text(t, enc, limit, overlap)]
+                out = [{"doc_id": i, **p} for i, t, words in zip(ids[start:end], part, enc.words(part)) for p in split_text(t, enc, limit, overlap, words)]
                 yield pa.RecordBatch.from_pylist(out, schema=SCHEMA)
 
     return run

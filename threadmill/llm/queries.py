@@ -132,7 +132,16 @@ verdict AS (
   FROM head h LEFT JOIN walked w USING (conversation_id))
 SELECT conversation_id, reason FROM verdict WHERE reason IS NOT NULL"""
 
+_SHARED = r"""
+WITH part AS (SELECT DISTINCT msg_id, unnest(parts) AS p FROM messages),
+txt AS (SELECT DISTINCT msg_id, CASE WHEN regexp_matches(p, '^\s*\{') AND json_valid(p) THEN coalesce(json_extract_string(p, '$.text'), '') ELSE p END AS t FROM part),
+gram AS (SELECT DISTINCT msg_id, t[i:i + 239] AS g FROM (SELECT msg_id, t, unnest(range(1, length(t) - 238)) AS i FROM txt WHERE length(t) >= 240)),
+often AS (SELECT g FROM gram GROUP BY g HAVING count(*) > 1),
+kept AS (SELECT msg_id, g FROM gram SEMI JOIN often USING (g))
+SELECT DISTINCT a.msg_id AS msg_a, b.msg_id AS msg_b FROM kept a JOIN kept b ON a.g = b.g AND a.msg_id < b.msg_id"""
+
 SQL = {
+    "p4_found": _SHARED,
     "p5_ranking": _RANKED,
     "p5_found": f"SELECT rec_key FROM ({_RANKED}) ORDER BY median_rank, mean_rank, rec_key LIMIT 10",
     "p6_found": _DROPPED,

@@ -172,7 +172,7 @@ class Encoder:
         return np.array([t for t in tok if t >= 0], np.int32).tobytes()
 
     def words(self, texts: list[str | None]) -> list[list[str]]:
-        """The words of each text, all of them known afterwards."""
+        """The words of each text, all of them known until the next call, which may forget them."""
         split = [self.split(t) if t else [] for t in texts]
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
@@ -181,6 +181,10 @@ class Encoder:
             self.learn(sorted(new))
         return split
 
+    def sized(self, texts: list[str | None]) -> list[tuple[list[str], list[int]]]:
+        """The words of each text and their token counts, which hold whatever is forgotten later."""
+        return [(ws, [len(b) // 4 for b in map(self.known.__getitem__, ws)]) for ws in self.words(texts)]
+
     def ids(self, texts: list[str | None]) -> pa.ListArray:
         import numpy as np
 

@@ -50,11 +50,10 @@ def strengths(words: list[str]) -> list[int]:
     return out
 
 
-def _units(words: list[str], enc: Encoder, most: int) -> tuple[list[str], list[int], list[bool]]:
+def _units(words: list[str], sizes: list[int], most: int) -> tuple[list[str], list[int], list[bool]]:
     """Words with their token counts; words of more than ``most`` tokens are cut into runs of few bytes."""
     units, counts, hard = [], [], []
-    for w in words:
-        n = len(enc.known[w]) // 4
+    for w, n in zip(words, sizes):
         if n <= most:
             units.append(w)
             counts.append(n)
@@ -90,13 +89,12 @@ def _count(units: list[str], tokens: list[int], hard: list[int], a: int, b: int,
     return tokens[tail] - tokens[a] + (enc.counts(["".join(units[tail:b])])[0] if tail < b else 0)
 
 
-def split_text(text: str, enc: Encoder, limit: int = LIMIT, overlap: int = OVERLAP, words: list[str] | None = None) -> list[dict]:
-    """Pieces of one text; [] if it holds no more than ``limit`` tokens. ``words``: its words, if they are known already."""
-    if words is None:
-        (words,) = enc.words([text])
-    if sum(map(len, map(enc.known.__getitem__, words))) // 4 <= limit:
+def split_text(text: str, enc: Encoder, limit: int = LIMIT, overlap: int = OVERLAP, sized: tuple[list[str], list[int]] | None = None) -> list[dict]:
+    """Pieces of one text; [] if it holds no more than ``limit`` tokens. ``sized``: its words and their token counts, if they are known already."""
+    words, sizes = sized or enc.sized([text])[0]
+    if sum(sizes) <= limit:
         return []
-    units, counts, hard = _units(words, enc, max(1, limit // 8))
+    units, counts, hard = _units(words, sizes, max(1, limit // 8))
     strong = [0 if h else s for s, h in zip(strengths(units), hard)]
     parted = [i for i, h in enumerate(hard) if h]
     tokens = [0, *accumulate(counts)]
@@ -161,7 +159,7 @@ def _splitting(vocabulary: str, limit: int, overlap: int) -> Callable[[Iterator[
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for start, end in slices(texts):
                 part = texts[start:end]
-                out = [{"doc_id": i, **p} for i, t, words in zip(ids[start:end], part, enc.words(part)) for p in split_text(t, enc, limit, overlap, words)]
+                out = [{"doc_id": i, **p} for i, t, sized in zip(ids[start:end], part, enc.sized(part)) for p in split_text(t, enc, limit, overlap, sized)]
                 yield pa.RecordBatch.from_pylist(out, schema=SCHEMA)
 
     return run

@@ -196,6 +196,7 @@ class Shared:
     """The steps of the search, each a DataFrame."""
 
     def __init__(self, messages: DataFrame):
+        self.messages = messages
         text = messages.select(F.col("msg_id").cast("long"), F.explode("parts").alias("part")).select("msg_id", part_text_column(F.col("part")).alias("text")).where(F.length("text") >= LEAST)
         self.parts = text.select("msg_id", F.xxhash64("text").alias("tid"), F.xxhash64(F.lit("2"), "text").alias("t2"), "text")
         self.members = self.parts.select("msg_id", "tid", "t2").distinct()
@@ -248,21 +249,30 @@ class Shared:
         equal = same.select(F.col("msg_id").alias("x"), "tid", "t2").join(same.select(F.col("msg_id").alias("y"), "tid", "t2"), ["tid", "t2"]).where("x < y").select("x", "y")
         return across.unionByName(equal).where("x <> y").select(F.least("x", "y").alias("msg_a"), F.greatest("x", "y").alias("msg_b")).distinct()
 
+    def windows_elsewhere(self) -> DataFrame:
+        """(g1, g2, tid, t2, at): the shared windows that two different messages hold, not only two parts of one."""
+        windows = stored(self.windows())
+        holders = self.members.groupBy("tid", "t2").agg(F.min("msg_id").alias("low"), F.max("msg_id").alias("high"))
+        often = windows.join(holders, ["tid", "t2"]).groupBy("g1", "g2").agg(F.min("tid").alias("a"), F.max("tid").alias("b"), F.min("low").alias("low"), F.max("high").alias("high")).where("a <> b and low <> high").select("g1", "g2")
+        return windows.join(often, ["g1", "g2"], "left_semi")
+
     def shares(self) -> DataFrame:
-        """(msg_id, chars, shared_chars, share) of every message with a long enough part.
+        """(msg_id, chars, shared_chars, share) of every message; chars are those of all its parts, however short.
 
         A part that other messages hold whole is shared whole; of other parts the
-        union of their shared windows counts.
+        union of the windows that other messages hold counts. A message without
+        text has share 0. A part that is delivered again as it was counts once.
         """
         place = Window.partitionBy("tid", "t2").orderBy("at")
-        at = self.shared_windows().select("tid", "t2", "at").distinct()
+        at = self.windows_elsewhere().select("tid", "t2", "at").distinct()
         covered = at.withColumn("next", F.lead("at").over(place)).groupBy("tid", "t2").agg(F.sum(F.least(F.lit(LEAST), F.coalesce(F.col("next") - F.col("at"), F.lit(LEAST)))).alias("covered"))
         held = self.members.groupBy("tid", "t2").agg((F.count("*") > 1).alias("whole"))
-        chars = F.length("text").cast("long")
-        rows = self.parts.select("msg_id", "tid", "t2", chars.alias("chars")).distinct().join(held, ["tid", "t2"]).join(covered, ["tid", "t2"], "left")
+        text = self.messages.select(F.col("msg_id").cast("long"), F.posexplode_outer("parts").alias("pos", "part")).select("msg_id", "pos", part_text_column(F.col("part")).alias("text"))
+        parts = text.select("msg_id", "pos", F.xxhash64("text").alias("tid"), F.xxhash64(F.lit("2"), "text").alias("t2"), F.length("text").cast("long").alias("chars")).distinct()
         shared = F.when(F.col("whole"), F.col("chars")).otherwise(F.coalesce("covered", F.lit(0)))
-        by = rows.groupBy("msg_id").agg(F.sum("chars").alias("chars"), F.sum(shared).cast("long").alias("shared_chars"))
-        return by.withColumn("share", F.col("shared_chars") / F.col("chars"))
+        long = parts.where(F.col("chars") >= LEAST).join(held, ["tid", "t2"]).join(covered, ["tid", "t2"], "left").groupBy("msg_id").agg(F.sum(shared).cast("long").alias("shared_chars"))
+        by = parts.groupBy("msg_id").agg(F.sum("chars").alias("chars")).join(long, "msg_id", "left").withColumn("shared_chars", F.coalesce("shared_chars", F.lit(0).cast("long")))
+        return by.withColumn("share", F.when(F.col("chars") > 0, F.col("shared_chars") / F.col("chars")).otherwise(0.0))
 
     def cleaned(self) -> DataFrame:
         """(msg_id, text, kept): the long parts with every passage removed that an earlier message (smaller msg_id) holds.

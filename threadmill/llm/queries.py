@@ -58,7 +58,7 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p9_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Each source's target, capacity and planned tokens."""
+    """Each source's target, capacity and planned tokens in the mix of p9_shares, and what all its documents hold."""
     return mixing.plan(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[1]
 
 
@@ -67,8 +67,9 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
-    """The actual shares of the drawn mix."""
-    return mixing.shares(mixing.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets")))
+    """The actual shares of the drawn mix, every target listed."""
+    targets = table(spark, folder, "mix_targets")
+    return mixing.shares(mixing.mix(table(spark, folder, "documents"), targets), targets)
 
 
 def p10_pieces(spark: SparkSession, folder: str) -> DataFrame:

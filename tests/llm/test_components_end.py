@@ -1,0 +1,11 @@
+import pytest
+
+from threadmill.llm.rebuild import components
+
+
+def test_components_never_stop_halfway(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "u long, v long")
+    with pytest.raises(RuntimeError, match="still change"):
+        components(path, most_rounds=1)
+    assert {r["component"] for r in components(path).collect()} == {0}
+    assert components(path.limit(0), most_rounds=1).collect() == []

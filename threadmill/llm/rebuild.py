@@ -49,7 +49,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Alternates large-star (each node's larger neighbours to its least neighbour)
     and small-star (its smaller neighbours and itself to the least) until the
-    edges stay the same. Minima are combined before the shuffle.
+    edges stay the same, and raises if ``most_rounds`` do not suffice for that.
+    Minima are combined before the shuffle.
     """
     now = cut(edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = _fingerprint(now)
@@ -64,6 +65,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if after == mark:
             break
         mark = after
+    else:
+        if mark[0]:
+            raise RuntimeError(f"components still change after {most_rounds} rounds")
     return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 

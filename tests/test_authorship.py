@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +76,38 @@ def test_code_across_turns_counts_on_joined_text(spark):
     assert m["chars"] == len(joined) and m["code_ratio"] == round(len("``` here\nclose ```") / len(joined), 3)
 
 
+def test_code_ratio_equals_that_of_the_joined_text(spark):
+    import random
+
+    rnd = random.Random(2)
+    rows, want = [], {}
+    for c in range(40):
+        texts = ["".join(rnd.choice(["```", "`", "ab", "\n", "x y", "``"]) for _ in range(rnd.randint(1, 6))) for _ in range(rnd.randint(1, 7))]
+        rows += [(c, 3 * i, rnd.choice(["user", "assistant"]), t, None) for i, t in enumerate(texts)]
+        want[c] = sum(map(len, re.findall(r"(?s)```.*?```", "\n".join(texts))))
+    got = {r["conv_no"]: r["fences"] for r in A.fence_chars(turns(spark, rows)).collect()}
+    assert {c: got.get(c, 0) for c in want} == want
+
+
+def test_long_conversations_are_read_in_stretches(spark):
+    rows = [(1, 7 * i, "user" if i % 2 else "assistant", f"t{i}", None) for i in range(60)] + [(2, 3, "user", "only", None)]
+    whole = {(r["conv_no"], r["pos"]): r["before"] for r in A.with_before(turns(spark, rows)).collect()}
+    assert whole == {(r["conv_no"], r["pos"]): r["before"] for r in A.with_before(turns(spark, rows), 20).collect()}
+    assert whole[(1, 7)] == "t0" and whole[(1, 14)] is None and whole[(2, 3)] is None and len(whole) == 61
+    signs = [(1, i, "user", t, None) for i, t in enumerate(["x"] * 5 + ["question", "3", "(mandatory)"] + ["y"] * 5 + ["a) one", "b)", "two", "c) three"] + ["z"] * 9)]
+    for joined in (256, 9, 10):
+        r = A.school_signs(turns(spark, signs), joined=joined).first()
+        assert (r["third"], r["school"], r["marker"], r["block"]) == (True, False, True, True)
+
+
+def test_no_text_is_normalised_inside_a_lambda(spark):
+    """A plan that puts the normal form into the function over token places is quadratic in the length of a turn."""
+    rows = A.labelled(A.with_before(turns(spark, [(1, 0, "assistant", COINED, 1.0), (1, 1, "user", COINED, 2.0)])))
+    plan = A.echoes(rows)._jdf.queryExecution().optimizedPlan().toString()
+    sliced = re.findall(r"slice\(([^,]+),", plan)
+    assert len(sliced) >= 4 and all(re.fullmatch(r"(toks|theirs)#\d+", x) for x in sliced)
+
+
 def test_coursework(spark):
     drill = [(1, 2 * i, "user", t, None) for i, t in enumerate(["B", "another one", "solve this: the mean", "C", "for my midterm"])]
     plain = [(2, i, "user", t, None) for i, t in enumerate(["B", "another one", "solve this", "C"])]

@@ -4,7 +4,7 @@ import zipfile
 import pytest
 
 from threadmill import cli
-from threadmill.operators import profile, shortlist, turns
+from threadmill.operators import catalog, profile, shortlist, turns
 from threadmill.sources import exports, markdown, sinks
 from threadmill.streaming import intake
 
@@ -85,7 +85,10 @@ def test_parse_rank_and_read_back(spark, tmp_path):
     assert "second-thing\\|Second \\| thing" in text and text.count("| [ ] |") == 2
     with pytest.raises(FileExistsError):
         cli.main(["rank", str(src), "--out", str(tmp_path / "w")])
+    (tmp_path / "w/chunks").mkdir()
+    (tmp_path / "w/chunks/chunk-99.md").write_text("of an earlier packing")
     assert cli.main(["voice", str(src), "--out", str(tmp_path / "w")]) == 0
+    assert not (tmp_path / "w/chunks/chunk-99.md").exists()
     assert (tmp_path / "w/chunks/chunk-01.md").read_text().startswith("# Your turns - chunk 1")
     idx = spark.createDataFrame([("2023-11-14-first-thing.md", None), ("nope.md", "k")], "file string, conversation_id string")
     assert {r["conversation_id"] for r in markdown.backfill_ids(idx, files).collect()} == {"a", "k"}
@@ -93,13 +96,94 @@ def test_parse_rank_and_read_back(spark, tmp_path):
 
 
 def test_ledger_files(spark, tmp_path):
-    assert exports.read_ledger(spark, str(tmp_path / "none.json")).collect() == []
+    led, waiting = exports.read_ledger(spark, str(tmp_path / "none.json"))
+    assert led.collect() == waiting.collect() == []
     f = tmp_path / "ledger.json"
-    f.write_text(exports.ledger_json([{"rec_key": "k", "status": "reviewed", "marked_on": "2024-01-01", "seen_turns": 3}]))
-    assert [tuple(r) for r in exports.read_ledger(spark, str(f)).collect()] == [("k", "reviewed", "2024-01-01", 3)]
-    sinks.write_ledger(exports.read_ledger(spark, str(f)), str(tmp_path / "led"))
-    sinks.write_ledger(exports.read_ledger(spark, str(f)), str(tmp_path / "led"))
-    assert spark.read.parquet(str(tmp_path / "led/v1")).count() == 1
+    led = spark.createDataFrame([("k", "reviewed", "2024-01-01", 3)], sinks.LEDGER_SCHEMA)
+    waiting = spark.createDataFrame([("p", "f.md", 2, ["n.md"])], sinks.PENDING_SCHEMA)
+    f.write_text(exports.ledger_json(led, waiting))
+    back = exports.read_ledger(spark, str(f))
+    assert [tuple(r) for r in back[0].collect()] == [("k", "reviewed", "2024-01-01", 3)] and [tuple(r) for r in back[1].collect()] == [("p", "f.md", 2, ["n.md"])]
+    for n in range(2):
+        assert sinks.write_ledger(led, str(tmp_path / "led")) == n
+    assert sinks.read_ledger(spark, str(tmp_path / "led")).count() == 1
+
+
+def test_duplicate_keys_keep_the_last_value(spark, tmp_path):
+    node = lambda n, text: json.dumps({"id": n, "parent": None, "children": [], "message": {"author": {"role": "user"}, "content": {"content_type": "text", "parts": [text]}}})
+    (tmp_path / "d.json").write_text(f'[{{"conversation_id": "a", "mapping": {{"x": {node("x", "old")}, "y": {node("y", "y")}, "x": {node("x", "new")}}}}}]')
+    mapping = exports.read(spark, str(tmp_path / "d.json")).first()["mapping"]
+    assert {k: v["message"]["content"]["parts"] for k, v in mapping.items()} == {"x": ["new"], "y": ["y"]}
+
+
+def test_review_round(spark, tmp_path):
+    """parse, rank, tick, sync, promote, rank again: what was read is not offered again, what a note cites waits for its tick."""
+    src, w = tmp_path / "one.json", tmp_path / "w"
+    src.write_text(json.dumps([A, B, C]))
+    led = str(tmp_path / "ledger.json")
+    assert cli.main(["run", str(src), "--out", str(w), "--ledger", led, "--as-of", "2024-01-01"]) == 0
+    text = (w / "SHORTLIST.md").read_text()
+    ticked = "\n".join(line.replace("| [ ] |", "| [x] |") if "first-thing" in line else line for line in text.split("\n"))
+    (w / "SHORTLIST.md").write_text(ticked)
+    staged, notes = tmp_path / "staged", tmp_path / "notes"
+    staged.mkdir()
+    (staged / "good.md").write_text('---\nsource: me\n---\n# t\n\n> "I keep thinking about what I want my own year to look like"\n\n*Sources:* [[2023-11-14-second-thing]]')
+    (staged / "bad.md").write_text("# no head")
+    promote = ["promote", str(staged), "--export", str(src), "--notes", str(notes), "--ledger", led]
+    assert cli.main([*promote, "--check"]) == 1 and not notes.exists()
+    assert cli.main(promote) == 1
+    assert [p.name for p in notes.glob("*.md")] == ["good.md"]
+    assert [r["rec_key"] for r in exports.read_ledger(spark, led)[1].collect()] == ["b"]
+    # the note is there now, so it is refused without --replace
+    (staged / "bad.md").unlink()
+    assert cli.main([*promote, "--check"]) == 1 and cli.main([*promote, "--check", "--replace"]) == 0
+    assert cli.main(["ledger", "sync", "--index", str(w / "index"), "--shortlist", str(w / "SHORTLIST.md"), "--ledger", led, "--as-of", "2024-01-02"]) == 0
+    done, waiting = exports.read_ledger(spark, led)
+    assert {r["rec_key"]: r["status"] for r in done.collect()} == {"a": "reviewed"} and [r["rec_key"] for r in waiting.collect()] == ["b"]
+    assert cli.main(["rank", str(src), "--out", str(w), "--ledger", led, "--force", "--top", "5"]) == 0
+    again = (w / "SHORTLIST.md").read_text()
+    assert "second-thing" in again and "first-thing" not in again
+    assert cli.main(["voice", str(src), "--out", str(w), "--ledger", led]) == 0
+    assert [p.name for p in (w / "chunks").glob("*.md")] == ["chunk-01.md"] and "first-thing" not in (w / "chunks/chunk-01.md").read_text()
+    assert cli.main(["ledger", "mark", "2023-11-14-second-thing", "nope", "--index", str(w / "index"), "--ledger", led, "--status", "promoted"]) == 0
+    assert cli.main(["ledger", "show", "--index", str(w / "index"), "--ledger", led]) == 0
+    assert {r["rec_key"]: r["status"] for r in exports.read_ledger(spark, led)[0].collect()} == {"a": "reviewed", "b": "promoted"}
+    assert cli.main(["paths"]) == 0
+
+
+def test_rescan_and_stale_index(spark, tmp_path):
+    src = tmp_path / "one.json"
+    src.write_text(json.dumps([A, B, C]))
+    rows, said = catalog.index(exports.read(spark, str(src)))
+    assert catalog.stale_fields(rows) == []
+    old = rows.drop("authored_words", "terms")
+    assert catalog.stale_fields(old) == ["authored_words", "terms"]
+    fresh = catalog.rescan(old, markdown.dialogue(markdown.render(rows, said)))
+    assert "content_days" not in fresh.columns
+    want = {r["file"]: (r["authored_words"], r["terms"]) for r in rows.collect()}
+    assert {r["file"]: (r["authored_words"], r["terms"]) for r in fresh.collect()} == want
+    assert catalog.rescan(old, markdown.dialogue(markdown.render(rows, said)).limit(0)).first()["authored_words"] is None
+    assert [r["conv_no"] for r in catalog.first(exports.read(spark, str(src)), 2).collect()] == [0, 1]
+
+
+def test_shared_folder_is_never_one_machines_own(spark, tmp_path, monkeypatch):
+    from threadmill import session
+
+    class Cluster:
+        conf = type("Unset", (), {"get": lambda self, key, default=None: default})()
+        sparkContext = type("C", (), {"master": "yarn", "applicationId": "x"})
+
+    monkeypatch.delenv("THREADMILL_CHECKPOINTS", raising=False)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Cluster)
+    named = tmp_path / "named"
+    monkeypatch.setenv("THREADMILL_CHECKPOINTS", str(named))
+    assert session.shared_dir(Cluster) == str(named) and str(named) not in session._OWN.values()
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(named))
+    with session.scratch(spark):
+        kept = session.stored(spark.range(3))
+        assert kept.count() == 3 and len(list((named / "tables").iterdir())) == 1
+    assert list((named / "tables").iterdir()) == []
 
 
 def test_stream_intake_is_exactly_once(spark, tmp_path):
@@ -111,7 +195,8 @@ def test_stream_intake_is_exactly_once(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
     from threadmill.operators.incremental import WorkLedger
 
-    assert {r["state"] for r in WorkLedger(spark, str(tmp_path / "led")).read().collect()} == {"pending"}
+    # the keys are those of batch runs
+    assert {r["rec_key"]: r["state"] for r in WorkLedger(spark, str(tmp_path / "led")).read().collect()} == {"a": "pending", "b": "pending"}
 
 
 def test_shortlist_lists_all_deltas(spark):

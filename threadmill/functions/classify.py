@@ -36,14 +36,22 @@ def turn_label(folded: Column, n: Column, cfg: Config | None = None) -> Column:
     )
 
 
-def coursework(body: Column, n_turns: Column, drills: Column, cfg: Config | None = None) -> Column:
-    """Whether a conversation is coursework. ``body``: its folded user texts joined by line breaks; ``drills``: how many of them drill."""
+def school_patterns(body: Column, cfg: Config | None = None) -> dict[str, Column]:
+    """Which of the patterns of coursework folded user texts, joined by line breaks, match."""
     cfg = cfg or Config()
-    third = X.has(body, f"({P.any_of(P.THIRD_PARTY, cfg.extra_paste_markers)})")
-    school = X.has(body, P.SCHOOL)
-    marker = X.has(body, f"({P.any_of(P.COURSEWORK, cfg.extra_coursework_markers)})")
+    return {
+        "third": X.has(body, f"({P.any_of(P.THIRD_PARTY, cfg.extra_paste_markers)})"),
+        "school": X.has(body, P.SCHOOL),
+        "marker": X.has(body, f"({P.any_of(P.COURSEWORK, cfg.extra_coursework_markers)})"),
+        "block": X.has(body, P.OPTION_BLOCK),
+    }
+
+
+def coursework(n_turns: Column, drills: Column) -> Column:
+    """Whether a conversation is coursework, by the columns of ``school_patterns`` and by how many of its user turns drill."""
     drilled = (n_turns >= 4) & (drills >= 4) & (drills / F.greatest(n_turns, F.lit(1)) >= 0.30)
-    return F.coalesce((third & school) | marker | (drilled & (X.has(body, P.OPTION_BLOCK) | school)), F.lit(False))
+    third, school, marker, block = (F.coalesce(F.col(c), F.lit(False)) for c in ("third", "school", "marker", "block"))
+    return F.coalesce((third & school) | marker | (drilled & (block | school)), F.lit(False))
 
 
 def is_drill(folded: Column) -> Column:

@@ -141,6 +141,14 @@ def slug(title: Column, n: int = 60) -> Column:
     return F.coalesce(F.nullif(F.regexp_replace(F.substring(F.regexp_replace(kept, r"[\s_]+", "-"), 1, n), "-+$", ""), F.lit("")), F.lit("untitled"))
 
 
+def link(stem: Column, title: Column, prefix: str = "", style: str = "wikilink") -> Column:
+    """A link to a transcript as it stands in a table: bars of the title are escaped."""
+    shown = F.replace(title, F.lit("|"), F.lit("\\|"))
+    if style == "markdown":
+        return F.format_string("[%s](%s%s.md)", shown, F.lit(prefix), stem)
+    return F.format_string("[[%s\\|%s]]", stem, shown)
+
+
 def day(seconds: Column) -> Column:
     """The calendar day of an epoch time in the session's time zone; null where the time is missing or 0."""
     return F.date_format(F.timestamp_seconds(F.nullif(seconds, F.lit(0.0))), "yyyy-MM-dd")

@@ -14,9 +14,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmill.session import shared_dir
+from threadmill.session import scratch_path, stored
+from threadmill.sources.versioned import Versions
 
-ITEM_SCHEMA = "rec_key string, size long, done_size long, state string, token long, lease_until double"
+ITEM_SCHEMA = "rec_key string, size long, done_size long, state string, token long, lease_until double, lease_id string"
 
 
 def record_key(conversation_id: str | Column = "conversation_id", file: str | Column = "file") -> Column:
@@ -33,114 +34,100 @@ def current_sizes(index: DataFrame) -> DataFrame:
     return index.select(record_key().alias("rec_key"), F.col("user_turns").cast("long").alias("user_turns")).where("rec_key is not null").groupBy("rec_key").agg(F.max("user_turns").alias("size"))
 
 
-def replay(ledger: DataFrame, runs: DataFrame, done_states: tuple[str, ...] = ("reviewed", "promoted")) -> DataFrame:
-    """Work items as the ledger's rows leave them: (rec_key, done_size, leases).
+class WorkLedger(Versions):
+    """The state machine as a table that outlives runs. Of two writers that began from one version one wins, the other raises ``Moved``.
 
-    A row of a run that ended in success completes its lease and raises
-    ``done_size``; any other run (failed, aborted, unfinished, unknown) leaves a
-    lease that expired, so the row moves nothing. Rows without a count or with
-    another status complete nothing. ``leases`` counts all rows, so it is the
-    fencing token the next lease must exceed.
-    """
-    good = runs.where(F.col("outcome") == "success").select(F.col("run_id").alias("good_run")).distinct()
-    rows = ledger.select(record_key().alias("rec_key"), F.col("user_turns").cast("long").alias("user_turns"), F.lower(F.trim("status")).isin(*done_states).alias("finished"), "run_id").where("rec_key is not null")
-    ended = rows.join(good, rows.run_id == good.good_run, "left")
-    completed = F.when(F.col("good_run").isNotNull() & F.col("finished"), F.col("user_turns"))
-    return ended.groupBy("rec_key").agg(F.max(completed).alias("done_size"), F.count("*").alias("leases"))
-
-
-def work_items(index: DataFrame, ledger: DataFrame, runs: DataFrame) -> DataFrame:
-    """One row per key of the index in ITEM_SCHEMA: state is pending or done.
-
-    Two aggregations with map-side combine and one join on the key, whose sides
-    have one row per key, so a key that holds a third of all rows is harmless.
-    """
-    sizes, states = current_sizes(index), replay(ledger, runs)
-    reached = F.coalesce(F.col("done_size") >= F.col("size"), F.col("size").isNull() & F.col("done_size").isNotNull())
-    return sizes.join(states, "rec_key", "left").select("rec_key", "size", "done_size", F.when(reached, "done").otherwise("pending").alias("state"), F.coalesce("leases", F.lit(0)).cast("long").alias("token"), F.lit(None).cast("double").alias("lease_until"))
-
-
-class WorkLedger:
-    """The same state machine as a table that outlives runs.
-
-    Each change writes a whole new version under a random name and publishes it
-    with one rename onto ``v<N>``; the loser of two concurrent writers finds the
-    name taken and fails without having changed anything. ``output_path`` is a
-    function of key and token only, so a retried worker overwrites its own
-    output and never adds a second one.
+    ``output_path`` is a function of key and token only, so a retried worker
+    overwrites its own output and never adds a second one.
     """
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-        self._fs.mkdirs(self._path(root))
-
-    def version(self) -> int:
-        names = [x.getPath().getName() for x in self._fs.listStatus(self._path(self.root))]
-        return max((int(n[1:]) for n in names if n[0] == "v" and n[1:].isdigit()), default=-1)
-
-    def read(self) -> DataFrame:
-        n = self.version()
-        return self.spark.createDataFrame([], ITEM_SCHEMA) if n < 0 else self.spark.read.schema(ITEM_SCHEMA).parquet(f"{self.root}/v{n}")
-
-    def _publish(self, df: DataFrame, base: int) -> None:
-        staged = f"{self.root}/_staged-{uuid.uuid4().hex}"
-        df.write.parquet(staged)
-        target = self._path(f"{self.root}/v{base + 1}")
-        if self._fs.exists(target) or not self._fs.rename(self._path(staged), target):
-            self._fs.delete(self._path(staged), True)
-            raise RuntimeError(f"ledger moved past version {base}; read it again and retry")
-
-    def enqueue(self, sizes: DataFrame) -> None:
+        super().__init__(spark, root, ITEM_SCHEMA)
+
+    def enqueue(self, sizes: DataFrame) -> int:
         """Add new keys and reopen grown ones; sizes has (rec_key, size), any number of rows a key."""
         base = self.version()
         new = sizes.where("rec_key is not null").groupBy("rec_key").agg(F.max("size").alias("new_size"))
-        old = self.read()
         grown = F.greatest("size", "new_size")
         reopened = (F.col("state") == "done") & (grown > F.coalesce("done_size", F.lit(-1)))
         state = F.when(F.col("state").isNull() | reopened, "pending").otherwise(F.col("state"))
-        self._publish(old.join(new, "rec_key", "full").select("rec_key", grown.alias("size"), "done_size", state.alias("state"), F.coalesce("token", F.lit(0)).cast("long").alias("token"), "lease_until"), base)
+        both = self.read(base).join(new, "rec_key", "full")
+        return self.publish(both.select("rec_key", grown.alias("size"), "done_size", state.alias("state"), F.coalesce("token", F.lit(0)).cast("long").alias("token"), "lease_until", "lease_id"), base)
+
+    def lease(self, now: float, ttl: float, where: Column | None = None, keys: DataFrame | None = None) -> DataFrame:
+        """Lease pending items, and those whose lease ran out by ``now``; returns exactly these, with their tokens.
 
-    def lease(self, now: float, ttl: float, where: Column | None = None) -> DataFrame:
-        """Lease pending items (and those whose lease ran out by ``now``); returns them with their tokens."""
+        ``where`` or ``keys`` (rec_key) narrows what is asked for. The lease has an
+        identifier of its own, so two calls at one time never return each other's items.
+        """
         base = self.version()
+        rows = self.read(base)
         free = (F.col("state") == "pending") | ((F.col("state") == "leased") & (F.col("lease_until") <= now))
         free = free if where is None else free & where
-        token = F.when(free, F.col("token") + 1).otherwise(F.col("token"))
-        until = F.when(free, F.lit(float(now + ttl))).otherwise(F.col("lease_until"))
-        after = self.read().withColumn("_taken", free)
-        after = after.select("rec_key", "size", "done_size", F.when(F.col("_taken"), "leased").otherwise(F.col("state")).alias("state"), token.alias("token"), until.alias("lease_until"))
-        self._publish(after, base)
-        return self.read().where((F.col("state") == "leased") & (F.col("lease_until") == float(now + ttl)))
-
-    def expire(self, now: float) -> None:
+        if keys is not None:
+            rows = rows.join(keys.select("rec_key").distinct().withColumn("_asked", F.lit(True)), "rec_key", "left")
+            free = free & F.col("_asked").isNotNull()
+        mine = uuid.uuid4().hex
+        taken = rows.withColumn("_taken", F.coalesce(free, F.lit(False)))
+        pick = lambda new, c: F.when(F.col("_taken"), new).otherwise(F.col(c)).alias(c)
+        n = self.publish(taken.select("rec_key", "size", "done_size", pick(F.lit("leased"), "state"), pick(F.col("token") + 1, "token"), pick(F.lit(float(now + ttl)), "lease_until"), pick(F.lit(mine), "lease_id")), base)
+        return self.read(n).where(F.col("lease_id") == mine)
+
+    def expire(self, now: float) -> int:
         """Put items whose lease ran out back to pending."""
         base = self.version()
         over = (F.col("state") == "leased") & (F.col("lease_until") <= now)
-        self._publish(self.read().withColumn("state", F.when(over, "pending").otherwise(F.col("state"))), base)
+        clear = lambda c, kind: F.when(over, F.lit(None).cast(kind)).otherwise(F.col(c)).alias(c)
+        return self.publish(self.read(base).select("rec_key", "size", "done_size", F.when(over, "pending").otherwise(F.col("state")).alias("state"), "token", clear("lease_until", "double"), clear("lease_id", "string")), base)
 
     def complete(self, done: DataFrame) -> DataFrame:
         """Finish items; done has (rec_key, size, token). Returns the rows that were rejected.
 
-        A row is accepted only while its item is leased under that very token.
-        A repeated row changes nothing the second time; it counts as rejected.
+        A row is accepted only while its item is leased under that very token. A
+        row without a size completes nothing. A repeated row changes nothing the
+        second time; it counts as rejected.
         """
         base = self.version()
-        done = done.select("rec_key", F.col("size").alias("got"), F.col("token").alias("fence")).distinct()
+        done = done.where("size is not null").select("rec_key", F.col("size").alias("got"), F.col("token").alias("fence")).distinct()
         best = done.groupBy("rec_key", "fence").agg(F.max("got").alias("got"))
-        old = self.read()
+        old = self.read(base)
         joined = old.join(best, (old.rec_key == best.rec_key) & (old.token == best.fence) & (old.state == "leased"), "left").drop(best.rec_key)
         took = F.col("fence").isNotNull()
         reached = F.greatest("done_size", "got")
-        state = F.when(took, F.when(reached >= F.col("size"), "done").otherwise("pending")).otherwise(F.col("state"))
+        state = F.when(took, F.when(F.coalesce(reached >= F.col("size"), F.lit(True)), "done").otherwise("pending")).otherwise(F.col("state"))
         held = old.where("state = 'leased'").select("rec_key", F.col("token").alias("fence"))
-        rejected = done.join(held, ["rec_key", "fence"], "left_anti")
-        kept = f"{shared_dir(self.spark)}/rejected-{uuid.uuid4().hex}"
-        rejected.write.parquet(kept)
-        self._publish(joined.select("rec_key", "size", F.when(took, reached).otherwise(F.col("done_size")).alias("done_size"), state.alias("state"), "token", F.when(took, F.lit(None)).otherwise(F.col("lease_until")).cast("double").alias("lease_until")), base)
-        return self.spark.read.parquet(kept)
+        rejected = stored(done.join(held, ["rec_key", "fence"], "left_anti"))
+        clear = lambda c, kind: F.when(took, F.lit(None).cast(kind)).otherwise(F.col(c)).alias(c)
+        self.publish(joined.select("rec_key", "size", F.when(took, reached).otherwise(F.col("done_size")).alias("done_size"), state.alias("state"), "token", clear("lease_until", "double"), clear("lease_id", "string")), base)
+        return rejected
 
     def output_path(self, key: str, token: int) -> str:
         return f"{self.root}/out/{uuid.uuid5(uuid.NAMESPACE_OID, key).hex}-{token}"
+
+
+def replay(index: DataFrame, ledger: DataFrame, runs: DataFrame, root: str | None = None, done_states: tuple[str, ...] = ("reviewed", "promoted")) -> WorkLedger:
+    """A WorkLedger that has lived through the recorded runs: its pending items are what is new or has grown.
+
+    The keys of the index are enqueued. What runs without success (failed,
+    aborted, unfinished, unknown) had taken is leased and left to expire, so it
+    is pending again with a raised token. What successful runs had taken is
+    leased and completed with the largest size they recorded; rows of another
+    status or without a count complete nothing and their leases expire too. Runs
+    of one kind are replayed together, as the outcome of a key depends on the
+    largest completed size only; so the steps do not grow with the runs. Rows
+    whose key is no item of the index touch nothing. Repeated rows change nothing.
+    """
+    spark = index.sparkSession
+    items = WorkLedger(spark, root or scratch_path(spark, "ledgers"))
+    items.enqueue(current_sizes(index))
+    good = runs.where("outcome = 'success'").select(F.col("run_id").alias("good_run")).distinct()
+    finished = F.coalesce(F.lower(F.trim("status")).isin(*done_states), F.lit(False))
+    rows = ledger.select(record_key().alias("rec_key"), F.when(finished, F.col("user_turns").cast("long")).alias("reached"), "run_id").where("rec_key is not null")
+    ended = rows.join(good, rows.run_id == good.good_run, "left").groupBy("rec_key", F.col("good_run").isNotNull().alias("good")).agg(F.max("reached").alias("reached"))
+    taken = stored(ended)
+    items.lease(0.0, 1.0, keys=taken.where("not good"))
+    items.expire(1.0)
+    leased = items.lease(1.0, 1.0, keys=taken.where("good"))
+    items.complete(leased.select("rec_key", "token").join(taken.where("good"), "rec_key").select("rec_key", F.col("reached").alias("size"), "token"))
+    items.expire(2.0)
+    return items

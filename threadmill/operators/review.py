@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadmill.operators.incremental import record_key
+from threadmill.operators.shortlist import review_state
+from threadmill.session import stored
 
 # How links, ticks, sources and dated names are written.
 STEM = r"\[\[([^\]|\\]+)|\]\(([^)]+?)\.md\)"
@@ -78,8 +80,65 @@ def sync(shortlists: DataFrame, index: DataFrame) -> DataFrame:
     return first.unionByName(rest).groupBy("stem").agg(F.max("ticked").alias("ticked"))
 
 
-def note_problems(notes: DataFrame, index: DataFrame, results: DataFrame | None = None) -> DataFrame:
-    """(file, problems, cited) of notes (file, content): reasons against each, and the known names it cites."""
+def unknown_rows(shortlists: DataFrame, index: DataFrame) -> DataFrame:
+    """(doc_id, line) of ticked rows none of whose names the index knows; they mark nothing."""
+    rows = shortlist_rows(shortlists).where("ticked")
+    known = index.select(F.regexp_replace("file", r"\.md$", "").alias("stem")).distinct()
+    named = rows.select("doc_id", "line", F.explode("stems").alias("stem")).join(known, "stem", "left_semi").select("doc_id", "line")
+    return rows.select("doc_id", "line").join(named, ["doc_id", "line"], "left_anti")
+
+
+def by_stem(index: DataFrame) -> DataFrame:
+    """index with one row a file and its name without ending as ``stem``; of rows of one file the one with most user turns."""
+    rows = index.select("file", "conversation_id", F.col("user_turns").cast("long").alias("user_turns")).where("file is not null")
+    best = rows.groupBy("file").agg(F.max(F.struct(F.col("user_turns"), F.col("conversation_id"))).alias("r"))
+    return best.select(F.regexp_replace("file", r"\.md$", "").alias("stem"), "file", "r.conversation_id", "r.user_turns")
+
+
+def mark_stems(ledger: DataFrame, index: DataFrame, stems: DataFrame, status: str, on: str) -> tuple[DataFrame, DataFrame]:
+    """(the ledger with the conversations of these names recorded, the names the index lacks). stems: (stem)."""
+    names, known = stems.select("stem").distinct(), by_stem(index)
+    return mark(ledger, known.join(names, "stem", "left_semi"), status, on), names.join(known, "stem", "left_anti")
+
+
+def sync_ledger(ledger: DataFrame, pending: DataFrame, shortlists: DataFrame, index: DataFrame, on: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(ledger, pending, unknown rows) after a shortlist was read: ticked rows are reviewed, pending ones promoted unless on hold."""
+    said = stored(sync(shortlists, index))
+    marked, _ = mark_stems(ledger, index, said.where("ticked"), "reviewed", on)
+    done, held = finalize(marked, pending, holds(shortlists), on)
+    return done, held, unknown_rows(shortlists, index)
+
+
+def holds(shortlists: DataFrame) -> DataFrame:
+    """(stem) of every name in rows that aren't ticked."""
+    return shortlist_rows(shortlists).where("not ticked").select(F.explode("stems").alias("stem")).distinct()
+
+
+def state_counts(index: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(state, conversations): unreviewed, reviewed and continued ones of the index, and what the ledger records in all."""
+    states = review_state(index, ledger).groupBy(F.coalesce("review_state", F.lit("unreviewed")).alias("state")).agg(F.count("*").alias("conversations"))
+    recorded_ = ledger.groupBy(F.concat(F.lit("recorded as "), F.col("status")).alias("state")).agg(F.count("*").alias("conversations"))
+    return states.unionByName(recorded_)
+
+
+def promote(notes: DataFrame, problems: DataFrame, pending: DataFrame, index: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(notes without problems, pending with the conversations they cite). problems: as ``note_problems`` gives them.
+
+    Nothing is written: sinks.put_notes copies the notes, and sync_ledger turns what is pending into promoted.
+    """
+    passed = notes.join(problems.where(F.size("problems") == 0).select("file", "cited"), "file")
+    cites = passed.select(F.col("file").alias("note"), F.explode("cited").alias("stem"))
+    new = by_stem(index).join(cites, "stem").select(record_key().alias("rec_key"), "file", "user_turns", F.array("note").alias("notes"))
+    both = pending.withColumn("_o", F.lit(0)).unionByName(new.withColumn("_o", F.lit(1)))
+    merged = both.groupBy("rec_key").agg(F.min_by("file", "_o").alias("file"), F.min_by("user_turns", "_o").alias("user_turns"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("notes")))).alias("notes"))
+    return passed.select("file", "content"), merged
+
+
+def note_problems(notes: DataFrame, index: DataFrame, results: DataFrame | None = None, present: DataFrame | None = None) -> DataFrame:
+    """(file, problems, cited) of notes (file, content): reasons against each, and the known names it cites.
+
+    ``results`` are the checked quotations, ``present`` (file) the notes that exist already and must not be replaced.
+    """
     front = F.regexp_extract("content", FRONTMATTER, 1)
     has_front = F.col("content").rlike(FRONTMATTER)
     cited = F.filter(F.flatten(F.transform(F.regexp_extract_all("content", F.lit(SOURCES), 1), stems)), lambda s: s.rlike(DATED))
@@ -93,4 +152,8 @@ def note_problems(notes: DataFrame, index: DataFrame, results: DataFrame | None
         failed = results.where("status <> 'ok' and not labeled").groupBy("file").agg(F.count("*").alias("failed"))
         out = out.join(failed, "file", "left")
         reasons.append(F.when(F.col("failed") > 0, "quotations fail"))
+    if present is not None:
+        taken = present.select("file").distinct().withColumn("_taken", F.lit(True))
+        out = out.join(taken, "file", "left")
+        reasons.append(F.when(F.col("_taken"), "a note of this name exists"))
     return out.select("file", F.array_compact(F.array(*reasons)).alias("problems"), F.coalesce("found", F.array().cast("array<string>")).alias("cited"))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadmill.config import Config
 from threadmill.functions import patterns as P
 from threadmill.functions import text as X
 from threadmill.operators import authorship as A
-from threadmill.operators import chunks, profile, review, shortlist, turns, verify
+from threadmill.operators import catalog, chunks, profile, review, shortlist, turns, verify
 from threadmill.plans import sql as S
-from threadmill.session import table
+from threadmill.session import spread, stored, table
+from threadmill.sources import markdown, sinks
 
 AS_OF = "2026-06-01"
 #: A configuration that uses every part of the routing: a topic of two patterns that replaces another, volatile topics, dated changes.
@@ -30,7 +31,7 @@ def _turns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return A.labelled(turns.from_documents(table(spark, folder, "documents")))
+    return A.labelled(turns.from_documents(spread(table(spark, folder, "documents").select("doc_id", "text"))))
 
 
 def _ledger(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,7 +71,7 @@ def echo_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def normalised_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").where("text is not null").select("doc_id", F.md5(X.norm(F.col("text"))).alias("norm_md5"))
+    return spread(table(spark, folder, "documents").select("doc_id", "text")).where("text is not null").select("doc_id", F.md5(X.norm(F.col("text"))).alias("norm_md5"))
 
 
 def document_terms(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,22 +91,14 @@ def span_hours(spark: SparkSession, folder: str) -> DataFrame:
     return by.select("conv_no", F.when(F.col("timed") > 1, F.col("span")).otherwise(0.0).alias("span_hours"))
 
 
-def _titled(spark: SparkSession, folder: str) -> DataFrame:
-    heads = turns.latest(table(spark, folder, "conversations").select("conv_no", "title", "create_time", "exported_at"))
-    return heads.select("conv_no", F.coalesce(F.nullif("title", F.lit("")), F.lit("Untitled")).alias("title"), F.coalesce(X.day(F.col("create_time")), F.lit("0000-00-00")).alias("conv_date"), X.slug(F.col("title")).alias("slug"))
-
-
 def authorship_shortlist(spark: SparkSession, folder: str) -> DataFrame:
     """The flagship: from nested exports to the best conversations by what their owner wrote."""
-    rows = A.metrics(_turns(spark, folder)).withColumn("branch_dup", F.lit(False)).withColumn("score", shortlist.score()).join(_titled(spark, folder), "conv_no")
+    rows = A.metrics(_turns(spark, folder)).withColumn("branch_dup", F.lit(False)).withColumn("score", shortlist.score()).join(catalog.heads(table(spark, folder, "conversations")).select("conv_no", "title"), "conv_no")
     return shortlist.shortlist(rows, TOP, "conv_no").select("conv_no", "title", "score", "authored_words", "own_voice_words", "max_user_turn_words", "authored_turns", "days_touched")
 
 
-def _kept(spark: SparkSession, folder: str) -> DataFrame:
-    rows = A.metrics(_turns(spark, folder)).where(F.col("user_words") >= FLOOR).join(_titled(spark, folder), "conv_no")
-    base = F.concat_ws("-", "conv_date", "slug")
-    k = F.row_number().over(Window.partitionBy("_base").orderBy("conv_no"))
-    return rows.withColumn("_base", base).withColumn("_k", k).withColumn("file", F.concat("_base", F.when(F.col("_k") > 1, F.concat(F.lit("-"), F.col("_k"))).otherwise(""), F.lit(".md"))).drop("_base", "_k", "slug")
+def _kept(spark: SparkSession, folder: str, said: DataFrame | None = None) -> DataFrame:
+    return catalog.kept(table(spark, folder, "conversations"), _turns(spark, folder) if said is None else said, FLOOR)
 
 
 def file_names(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,10 +108,9 @@ def file_names(spark: SparkSession, folder: str) -> DataFrame:
 def intake_account(spark: SparkSession, folder: str) -> DataFrame:
     """What becomes of every exported conversation; the rows add up to all of them."""
     all_ = turns.latest(table(spark, folder, "conversations").select("conv_no", "exported_at"))
-    words = A.labelled(_turns(spark, folder)).groupBy("conv_no").agg(F.sum("n_all").alias("w"))
-    some = _turns(spark, folder).select("conv_no").distinct().withColumn("some", F.lit(True))
-    fate = F.when(F.col("some").isNull(), "empty").when(F.coalesce("w", F.lit(0)) < FLOOR, "short").otherwise("kept")
-    return all_.join(some, "conv_no", "left").join(words, "conv_no", "left").groupBy(fate.alias("fate")).agg(F.count("*").alias("conversations"))
+    words = catalog.volumes(_turns(spark, folder)).select("conv_no", "user_words")
+    fate = F.when(F.col("user_words").isNull(), "empty").when(F.col("user_words") < FLOOR, "short").otherwise("kept")
+    return all_.join(words, "conv_no", "left").groupBy(fate.alias("fate")).agg(F.count("*").alias("conversations"))
 
 
 def archive_totals(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,32 +120,78 @@ def archive_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _blocks(spark: SparkSession, folder: str) -> DataFrame:
-    said = _turns(spark, folder)
-    rows = _kept(spark, folder).select("conv_no", "file", "title", "conv_date", "user_words", "user_turns", "days_touched")
-    return chunks.blocks(rows, said, FLOOR).withColumn("tokens", chunks.tokens(F.col("text")))
+    return chunks.block_sizes(_kept(spark, folder))
 
 
 def year_rollup(spark: SparkSession, folder: str) -> DataFrame:
     by = _blocks(spark, folder).groupBy(F.substring("conv_date", 1, 4).alias("year"))
-    return by.agg(F.count("*").alias("conversations"), F.sum(F.length("text")).alias("chars"), F.floor(F.sum(F.length("text")) / 4).alias("tokens"))
+    return by.agg(F.count("*").alias("conversations"), F.sum("chars").alias("chars"), F.floor(F.sum("chars") / 4).alias("tokens"))
 
 
 def chunk_pack(spark: SparkSession, folder: str) -> DataFrame:
-    return chunks.pack(_blocks(spark, folder).select("conv_no", "conv_date", "file", "tokens"), BUDGET).select("conv_no", "tokens", "chunk")
+    return chunks.pack(stored(_blocks(spark, folder).select("conv_no", "conv_date", "file", "tokens")), BUDGET).select("conv_no", "tokens", "chunk")
 
 
 def chunk_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    return chunks.manifest(chunks.pack(_blocks(spark, folder), BUDGET), BUDGET)
+    return chunks.manifest(chunks.pack(stored(_blocks(spark, folder).select("conv_date", "file", "chars", "tokens")), BUDGET), BUDGET)
+
+
+def unreviewed_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left to read: the packing without conversations that were reviewed and have not gone on since."""
+    fresh = chunks.unreviewed(_blocks(spark, folder), _ledger(spark, folder))
+    return chunks.pack(stored(fresh.select("conv_no", "conv_date", "file", "tokens")), BUDGET).select("conv_no", "tokens", "chunk")
+
+
+def first_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 25 conversations of the export, as a limited intake reads them."""
+    return catalog.first(turns.latest(table(spark, folder, "conversations").select("conv_no", "exported_at")), 25).select("conv_no")
 
 
 def word_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
     """Words in of kept conversations against words out of their blocks' turns."""
-    kept = _kept(spark, folder).select("conv_no", "user_words")
-    out = _turns(spark, folder).where("role = 'user'").join(kept, "conv_no", "left_semi").agg(F.sum(X.words(X.fold(F.col("text")))).cast("long").alias("words_out"))
+    said = stored(_turns(spark, folder))
+    kept = _kept(spark, folder, said).select("conv_no", "user_words")
+    out = said.where("role = 'user'").join(kept, "conv_no", "left_semi").agg(F.sum(X.words(X.fold(F.col("text")))).cast("long").alias("words_out"))
     both = kept.agg(F.sum("user_words").cast("long").alias("words_in")).join(out, F.lit(True))  # one row on either side
     return both.withColumn("reconciled", F.col("words_out") >= F.col("words_in") * 0.98)
 
 
+def _transcripts(spark: SparkSession, folder: str) -> DataFrame:
+    """(conv_no, pos, role, text, ts) of the documents that are transcripts: read back from markdown."""
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text", "source")).where("lower(trim(source)) = 'transcript'")
+    return markdown.dialogue(docs.select(F.col("doc_id").alias("file"), F.col("text").alias("content"))).select(F.col("file").alias("conv_no"), "pos", "role", "text", F.lit(None).cast("double").alias("ts"))
+
+
+def transcript_turns(spark: SparkSession, folder: str) -> DataFrame:
+    return _transcripts(spark, folder).select(F.col("conv_no").alias("doc_id"), "pos", "role", "text")
+
+
+def transcript_echoes(spark: SparkSession, folder: str) -> DataFrame:
+    return A.credited(_transcripts(spark, folder)).where("echo_share > 0").select(F.col("conv_no").alias("doc_id"), "pos", F.round("echo_share", 6).alias("echo_share"), "echoed")
+
+
+def _message_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """The kept messages of the archive as turns, by position. One conversation holds a large share of them."""
+    m = table(spark, folder, "messages").where("conversation_id is not null and node_id is not null and node_pos is not null")
+    last = F.max(F.struct("ingested_at", "msg_id", "role", "content_type", "parts", "hidden", "create_time", "node_pos")).alias("m")
+    once = m.groupBy("conversation_id", "node_id").agg(last).select("conversation_id", "m.*")
+    kept = once.where(F.lower("role").isin("user", "assistant") & F.col("content_type").isin(*P.TEXT_TYPES) & ~F.coalesce("hidden", F.lit(False)))
+    return kept.select(F.xxhash64("conversation_id").alias("conv_no"), "conversation_id", F.col("node_pos").cast("int").alias("pos"), F.lower("role").alias("role"), X.message_text(F.col("parts")).alias("text"), F.nullif("create_time", F.lit(0.0)).alias("ts")).where("text <> ''").dropDuplicates(["conv_no", "pos"])
+
+
+def message_echoes(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of user messages that repeat the assistant message before them, by conversation."""
+    said = stored(_message_turns(spark, folder))
+    by = A.credited(said).where("echoed > 0").groupBy("conv_no").agg(F.count("*").alias("turns"), F.sum("echoed").alias("echoed"))
+    return by.join(said.select("conv_no", "conversation_id").distinct(), "conv_no").select("conversation_id", "turns", "echoed")
+
+
+def rescanned_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Transcripts scored from what they say alone, as an index without the fields of authorship is read again."""
+    m = A.metrics(_transcripts(spark, folder))
+    return m.select(F.col("conv_no").alias("doc_id"), *catalog.RESCANNED[:8], shortlist.score(has_content_days=False).alias("score"))
+
+
 def _index(spark: SparkSession, folder: str) -> DataFrame:
     """conv_index with one row per file: the latest export, then the most user turns."""
     rows = table(spark, folder, "conv_index")
@@ -220,6 +258,14 @@ def quote_checks(spark: SparkSession, folder: str) -> DataFrame:
     return verify.check(_notes(spark, folder), _turns(spark, folder))
 
 
+def excerpt_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """The beginning of every transcript turn as a quotation, checked against the transcripts: every status occurs."""
+    said = stored(_transcripts(spark, folder))
+    start = F.regexp_replace(F.regexp_replace(F.substring("text", 1, 90), '["\n`“”\\[]', " "), r"\s+$", "")
+    notes = said.select(F.format_string("note-%d-%d.md", "conv_no", "pos").alias("file"), F.concat(F.lit('> "'), start, F.lit('"')).alias("content"))
+    return verify.check(notes, said).select("file", "status", "labeled")
+
+
 def quote_summary(spark: SparkSession, folder: str) -> DataFrame:
     return verify.summary(quote_checks(spark, folder))
 
@@ -232,17 +278,53 @@ def shortlist_marks(spark: SparkSession, folder: str) -> DataFrame:
     return review.shortlist_rows(_shortlists(spark, folder)).select("doc_id", "line", "ticked", F.array_join("stems", " ").alias("stems"))
 
 
+def shortlist_sync(spark: SparkSession, folder: str) -> DataFrame:
+    """Names that shortlists tick, and names that wait for a tick."""
+    return review.sync(_shortlists(spark, folder), table(spark, folder, "conv_index"))
+
+
+def unknown_marks(spark: SparkSession, folder: str) -> DataFrame:
+    """Ticked rows that name no conversation of the index."""
+    return review.unknown_rows(_shortlists(spark, folder), table(spark, folder, "conv_index"))
+
+
+def _ticked(spark: SparkSession, folder: str) -> DataFrame:
+    return review.shortlist_rows(_shortlists(spark, folder)).where("ticked").select(F.explode("stems").alias("stem"))
+
+
+def marked_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger after every name that a ticked row links to is recorded as reviewed."""
+    return review.mark_stems(_ledger(spark, folder), table(spark, folder, "conv_index"), _ticked(spark, folder), "reviewed", AS_OF)[0]
+
+
+def ledger_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return review.state_counts(_index(spark, folder), _ledger(spark, folder))
+
+
 def note_problems(spark: SparkSession, folder: str) -> DataFrame:
-    rows = review.note_problems(_notes(spark, folder), table(spark, folder, "conv_index"))
+    """What stands against each staged note: its form, its sources, its quotations, and a finished note of its name."""
+    notes = _notes(spark, folder)
+    final = table(spark, folder, "documents").where("lower(trim(source)) = 'note_final'").select(F.format_string("note-%d.md", "doc_id").alias("file"))
+    rows = review.note_problems(notes, table(spark, folder, "conv_index"), verify.check(notes, _turns(spark, folder)), final)
     return rows.select("file", F.array_join("problems", "; ").alias("problems"), F.size("cited").alias("cited"))
 
 
+def promoted_pending(spark: SparkSession, folder: str) -> DataFrame:
+    """What the promotion of all notes without a fault of form or source leaves pending, by key."""
+    notes = _notes(spark, folder)
+    index = table(spark, folder, "conv_index")
+    none = spark.createDataFrame([], sinks.PENDING_SCHEMA)
+    waiting = review.promote(notes, review.note_problems(notes, index), none, index)[1]
+    return waiting.select("rec_key", "file", "user_turns", F.array_join("notes", " ").alias("notes"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         authorship_shortlist, linearized_turns, turn_labels, document_labels, voice_scores, label_calibration, voice_histogram, voice_near_floor, echo_shares, normalised_documents, document_terms, conv_metrics, span_hours,
         file_names, intake_account, archive_totals, year_rollup, chunk_pack, chunk_manifest, word_reconciliation, branch_duplicates, index_scores, topic_routes, delta_candidates, review_states, ledger_records,
-        review_shortlist, delta_shortlist, format_profile, format_verdict, note_quotes, quote_checks, quote_summary, shortlist_marks, note_problems,
+        review_shortlist, delta_shortlist, format_profile, format_verdict, note_quotes, quote_checks, excerpt_checks, quote_summary, shortlist_marks, note_problems,
+        unreviewed_chunks, first_conversations, transcript_turns, transcript_echoes, message_echoes, rescanned_scores, shortlist_sync, unknown_marks, marked_ledger, ledger_counts, promoted_pending,
     )
 }
 
@@ -270,13 +352,13 @@ blocks AS (
   SELECT *, length(text) // 4 AS tokens FROM (
     SELECT k.conv_no, k.file, k.conv_date, chr(10) || chr(10) || '## [[' || regexp_replace(k.file, '\\.md$', '') || ']] - ' || k.title || chr(10) || '*' || k.conv_date || ' · ' || k.user_words || 'w · ' || k.user_turns || ' turns · ' || k.days_touched || ' days*' || chr(10) || s.said AS text
     FROM kept k JOIN spoken s USING (conv_no)))"""
-_PACK = f"""{_BLOCKS},
-placed AS (SELECT *, row_number() OVER (ORDER BY conv_date, file) AS i FROM blocks),
+_FOLD = f"""placed AS (SELECT *, row_number() OVER (ORDER BY conv_date, file) AS i FROM blocks),
 packed(i, chunk, held) AS (
   SELECT i, 1::BIGINT, tokens FROM placed WHERE i = 1
   UNION ALL
   SELECT p.i, CASE WHEN c.held + p.tokens > {BUDGET} THEN c.chunk + 1 ELSE c.chunk END, CASE WHEN c.held + p.tokens > {BUDGET} THEN p.tokens ELSE c.held + p.tokens END
   FROM packed c JOIN placed p ON p.i = c.i + 1)"""
+_PACK = f"{_BLOCKS}, {_FOLD}"
 _INDEX = """idx AS (SELECT * FROM conv_index QUALIFY row_number() OVER (PARTITION BY file ORDER BY exported_at DESC NULLS LAST, user_turns DESC NULLS LAST) = 1)"""
 _BRANCH = f"""{_INDEX},
 tt AS (SELECT *, lower({S.strip("coalesce(title, '')")}) AS t FROM idx),
@@ -298,6 +380,35 @@ _LEDGER = """rec AS (
   SELECT coalesce(nullif(conversation_id, ''), file) AS rec_key, CASE WHEN max(CASE lower(trim(status)) WHEN 'promoted' THEN 2 ELSE 1 END) = 2 THEN 'promoted' ELSE 'reviewed' END AS status,
          max(marked_on) AS marked_on, max(user_turns) AS seen_turns
   FROM ledger WHERE lower(trim(status)) IN ('reviewed', 'promoted') AND coalesce(nullif(conversation_id, ''), file) IS NOT NULL GROUP BY 1)"""
+_UNREVIEWED = f"""{_BLOCKS.replace("blocks AS (", "all_blocks AS (", 1)}, {_LEDGER},
+ids AS (SELECT conv_no, coalesce(nullif(conversation_id, ''), id) AS conversation_id FROM latest),
+blocks AS (
+  SELECT b.* FROM all_blocks b JOIN kept k USING (conv_no) JOIN ids USING (conv_no) LEFT JOIN rec r ON r.rec_key = coalesce(nullif(ids.conversation_id, ''), b.file)
+  WHERE r.rec_key IS NULL OR coalesce(k.user_turns > r.seen_turns, false)),
+{_FOLD}"""
+_SPEAKER = r"(?m)^(?:## Me|### ChatGPT)$"
+_FILES = f"""spoken_parts AS (
+  SELECT doc_id, regexp_extract_all(body, {S.q('(?m)^(## Me|### ChatGPT)$')}) AS who, string_split_regex(body, {S.q(_SPEAKER)}) AS said FROM (
+    SELECT doc_id, regexp_replace(text, {S.q(markdown.FRONTMATTER)}, '') AS body FROM documents WHERE lower(trim(source)) = 'transcript' AND text IS NOT NULL)),
+turns AS (
+  SELECT * FROM (
+    SELECT doc_id AS conv_no, (i - 1)::INTEGER AS pos, CASE WHEN who[i] = '## Me' THEN 'user' ELSE 'assistant' END AS role, {S.strip('said[i + 1]')} AS text, NULL::DOUBLE AS ts
+    FROM (SELECT *, unnest(range(1, len(who) + 1)) AS i FROM spoken_parts)) WHERE text <> '')"""
+_MESSAGES = f"""once AS (SELECT * FROM messages WHERE conversation_id IS NOT NULL AND node_id IS NOT NULL AND node_pos IS NOT NULL QUALIFY row_number() OVER (PARTITION BY conversation_id, node_id ORDER BY ingested_at DESC NULLS LAST, msg_id DESC) = 1),
+turns AS (
+  SELECT * FROM (
+    SELECT conversation_id AS conv_no, node_pos AS pos, lower(role) AS role, nullif(create_time, 0) AS ts,
+      {S.strip(f"array_to_string(list_filter(list_transform(parts, lambda p: {S.part_text('p')}), lambda t: t <> ''), chr(10))")} AS text
+    FROM once WHERE lower(role) IN ('user', 'assistant') AND content_type IN ('text', 'multimodal_text') AND NOT coalesce(hidden, false)) WHERE text <> '')"""
+_NOTES = """notes AS (SELECT 'note-' || doc_id || '.md' AS file, text AS content FROM documents WHERE lower(trim(source)) IN ('note_staged', 'note_final'))"""
+_ROWS = """marks AS (
+  SELECT doc_id, line, ticked, stems FROM (
+    SELECT doc_id, line::INTEGER AS line, regexp_matches(row, '^\\|\\s*\\[[xX]\\]') AS ticked,
+      list_filter(list_transform(regexp_extract_all(row, '\\[\\[[^\\]|\\\\]+|\\]\\([^)]+?\\.md\\)'), lambda x: trim(regexp_replace(regexp_replace(regexp_replace(x, '^\\[\\[|^\\]\\(', ''), '\\.md\\)$', ''), CASE WHEN x LIKE '[[%' THEN '^$' ELSE '.*/' END, ''))), lambda x: x <> '') AS stems
+    FROM (SELECT doc_id, i AS line, lines[i] AS row FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE lower(trim(source)) = 'shortlist')))
+    WHERE row LIKE '|%') WHERE len(stems) > 0),
+known AS (SELECT regexp_replace(file, '\\.md$', '') AS stem, file, max(user_turns) AS user_turns, arg_max(conversation_id, (coalesce(user_turns, -1), coalesce(conversation_id, ''))) AS conversation_id FROM conv_index WHERE file IS NOT NULL GROUP BY 1, 2),
+named AS (SELECT m.doc_id, m.line, m.ticked, m.k, m.stems[m.k] AS stem FROM (SELECT *, unnest(range(1, len(stems) + 1)) AS k FROM marks) m WHERE m.stems[m.k] IN (SELECT stem FROM known))"""
 _STATE = "CASE WHEN r.rec_key IS NULL THEN NULL WHEN i.user_turns > r.seen_turns THEN 'continued' ELSE 'reviewed' END"
 _PROFILE = f"""WITH m AS (SELECT unnest(map_values(mapping)).message AS m FROM conversations WHERE mapping IS NOT NULL),
 k AS (
@@ -355,6 +466,26 @@ o AS (SELECT count(*) AS conversations, count(*) FILTER (mapping IS NULL) AS no_
   count(*) FILTER (mapping IS NOT NULL AND (current_node IS NULL OR NOT list_contains(map_keys(mapping), current_node))) AS no_current_node FROM conversations),
 t AS (SELECT coalesce(sum(with_text) FILTER (role = 'user' AND handled = 'kept'), 0)::BIGINT AS user_with_text, coalesce(sum(messages) FILTER (handled IN ('unknown type', 'unknown role')), 0)::BIGINT AS unknown FROM kinds)
 SELECT o.*, t.*, CASE WHEN conversations = 0 THEN 'no conversations' WHEN no_mapping > greatest(1, conversations * {profile.MAX_BAD_SHARE}) THEN 'mapping is missing' WHEN user_with_text = 0 THEN 'no user text' ELSE '' END AS error FROM o, t""",
+    **S.quotation_queries(_T, _NOTES, "turns"),
+    "excerpt_checks": f"""WITH {_FILES}, notes AS (SELECT 'note-' || conv_no || '-' || pos || '.md' AS file, '> "' || regexp_replace(regexp_replace(substring(text, 1, 90), '["\n`“”\\[]', ' ', 'g'), '\\s+$', '') || '"' AS content FROM turns),
+{S.quoted()}, {S.checked()} SELECT file, status, labeled FROM checks""",
+    "unreviewed_chunks": f"{_UNREVIEWED} SELECT p.conv_no, p.tokens::BIGINT AS tokens, c.chunk FROM packed c JOIN placed p USING (i)",
+    "first_conversations": "SELECT DISTINCT conv_no FROM conversations WHERE conv_no IS NOT NULL ORDER BY conv_no LIMIT 25",
+    "transcript_turns": f"WITH {_FILES} SELECT conv_no AS doc_id, pos, role, text FROM turns",
+    "transcript_echoes": f"WITH {_FILES}, {S.CREDITED} SELECT conv_no AS doc_id, pos, round(echo_share, 6) AS echo_share, echoed FROM credited WHERE echo_share > 0",
+    "message_echoes": f"WITH {_MESSAGES}, {S.CREDITED} SELECT conv_no AS conversation_id, count(*) AS turns, sum(echoed)::BIGINT AS echoed FROM credited WHERE echoed > 0 GROUP BY 1",
+    "rescanned_scores": f"""WITH {_FILES}, {S.CREDITED}, {S.metrics()}
+SELECT conv_no AS doc_id, {', '.join(catalog.RESCANNED[:8])}, round_even({S.score().replace("content_days", "NULL::BIGINT")}, 2) AS score FROM metrics""",
+    "shortlist_sync": f"""WITH {_ROWS}, s AS (SELECT min_by(stem, k) AS stem, true AS ticked FROM named WHERE ticked GROUP BY doc_id, line UNION ALL SELECT stem, false FROM named WHERE NOT ticked)
+SELECT stem, bool_or(ticked) AS ticked FROM s GROUP BY 1""",
+    "unknown_marks": f"WITH {_ROWS} SELECT doc_id, line FROM marks m WHERE ticked AND NOT EXISTS (SELECT 1 FROM named n WHERE n.doc_id = m.doc_id AND n.line = m.line)",
+    "marked_ledger": f"""WITH {_LEDGER}, {_ROWS}, t AS (SELECT DISTINCT unnest(stems) AS stem FROM marks WHERE ticked),
+new AS (SELECT coalesce(nullif(k.conversation_id, ''), k.file) AS rec_key, max(k.user_turns) AS turns FROM known k JOIN t USING (stem) GROUP BY 1)
+SELECT coalesce(r.rec_key, n.rec_key) AS rec_key, CASE WHEN n.rec_key IS NULL OR r.status = 'promoted' THEN r.status ELSE 'reviewed' END AS status,
+  CASE WHEN n.rec_key IS NULL THEN r.marked_on ELSE '{AS_OF}' END AS marked_on, CASE WHEN n.rec_key IS NULL THEN r.seen_turns ELSE n.turns END AS seen_turns
+FROM rec r FULL JOIN new n ON n.rec_key = r.rec_key""",
+    "ledger_counts": f"""WITH {_INDEX}, {_LEDGER} SELECT coalesce({_STATE}, 'unreviewed') AS state, count(*) AS conversations FROM idx i LEFT JOIN rec r ON r.rec_key = coalesce(nullif(i.conversation_id, ''), i.file) GROUP BY 1
+UNION ALL SELECT 'recorded as ' || status, count(*) FROM rec GROUP BY 1""",
     "shortlist_marks": """WITH r AS (
   SELECT doc_id, i AS line, lines[i] AS row FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE lower(trim(source)) = 'shortlist'))),
 s AS (SELECT doc_id, line::INTEGER AS line, regexp_matches(row, '^\\|\\s*\\[[xX]\\]') AS ticked,

@@ -10,12 +10,12 @@ from threadmill.session import table
 
 
 def p1_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Every work item with its state."""
-    return incremental.work_items(table(spark, folder, "conv_index"), table(spark, folder, "ledger"), table(spark, folder, "ledger_runs")).drop("lease_until")
+    """Every work item as the ledger holds it after the recorded runs were replayed through it."""
+    return incremental.replay(table(spark, folder, "conv_index"), table(spark, folder, "ledger"), table(spark, folder, "ledger_runs")).read().drop("lease_until", "lease_id")
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    """The pending items: new or grown since the last successful review."""
+    """The pending items of the ledger: new or grown since the last successful review."""
     return p1_items(spark, folder).where("state = 'pending'").select("rec_key")
 
 
@@ -68,7 +68,7 @@ lr AS (
   SELECT coalesce(nullif(l.conversation_id, ''), l.file) AS rec_key, l.user_turns, lower(trim(l.status)) IN ('reviewed', 'promoted') AS fin,
          EXISTS (SELECT 1 FROM ledger_runs r WHERE r.run_id = l.run_id AND r.outcome = 'success') AS ok
   FROM ledger l),
-done AS (SELECT rec_key, max(CASE WHEN ok AND fin THEN user_turns END) AS done_size, count(*) AS token FROM lr WHERE rec_key IS NOT NULL GROUP BY 1)
+done AS (SELECT rec_key, max(CASE WHEN ok AND fin THEN user_turns END) AS done_size, max(ok::INT) + max((NOT ok)::INT) AS token FROM lr WHERE rec_key IS NOT NULL GROUP BY 1)
 SELECT i.rec_key, i.size, d.done_size,
        CASE WHEN d.done_size >= i.size OR (i.size IS NULL AND d.done_size IS NOT NULL) THEN 'done' ELSE 'pending' END AS state,
        coalesce(d.token, 0)::BIGINT AS token

@@ -188,3 +188,88 @@ def topics(cfg: Config | None = None) -> str:
     for name, test in drops:
         listed = f"CASE WHEN {test} THEN list_filter({listed}, lambda t: t <> {q(name)}) ELSE {listed} END"
     return listed
+
+
+#: After turns(conv_no, pos, role, text) and notes(file, content): quoted(file, line, quote, context).
+#: A quotation stands between two neighbouring quotation marks of a line; of two that would share a mark the first counts.
+def quoted() -> str:
+    inner = "p[i]"
+    straight = f"""(CASE WHEN i = 2 AND p[1] = '' THEN true ELSE regexp_matches(p[i - 1], '[\\s(>\\[*_]$') END)
+      AND length({inner}) >= 40 AND regexp_matches({inner}, '^\\S') AND regexp_matches({inner}, '\\S$')
+      AND (CASE WHEN i + 1 = len(p) AND p[i + 1] = '' THEN true ELSE regexp_matches(p[i + 1], '^[\\s.,;:!?)\\]*_]') END)"""
+    return f"""
+lined AS (
+  SELECT file, lines, i AS line, lines[i] AS row, array_to_string(lines[greatest(i - 3, 1):i + 1], chr(10)) AS context FROM (
+    SELECT file, lines, unnest(range(1, len(lines) + 1)) AS i FROM (SELECT file, string_split(content, chr(10)) AS lines FROM notes WHERE content IS NOT NULL AND NOT regexp_replace(file, '.*/', '') LIKE '\\_%' ESCAPE '\\'))),
+piece AS (SELECT file, line, context, p, unnest(range(2, len(p))) AS i FROM (SELECT *, string_split(row, '"') AS p FROM lined)),
+fits AS (SELECT file, line, context, i, p[i] AS raw FROM piece WHERE {straight}),
+island AS (SELECT *, i - row_number() OVER (PARTITION BY file, line ORDER BY i) AS g FROM fits),
+taken AS (SELECT *, row_number() OVER (PARTITION BY file, line, g ORDER BY i) AS k FROM island),
+raws AS (
+  SELECT file, line, context, raw FROM taken WHERE k % 2 = 1
+  UNION ALL SELECT file, line, context, unnest(regexp_extract_all(row, '“([^”\\n]{{40,}})”', 1)) FROM lined),
+quoted AS (SELECT file, line::INTEGER AS line, replace(raw, '**', '') AS quote, context FROM raws
+  WHERE NOT contains(replace(raw, '**', ''), '[[') AND NOT contains(replace(raw, '**', ''), 'source:') AND NOT contains(replace(raw, '**', ''), '`') AND length({norm("replace(raw, '**', '')")}) >= 30)"""
+
+
+def checked() -> str:
+    """After quoted: checks(file, line, quote, status, labeled). Every quotation is tried on every turn."""
+    words = lambda status, keys: f"(status = '{status}' AND len(list_filter(bold, lambda b: regexp_matches(b, {q(f'(?i)' + chr(92) + f'b({keys}|unverifiable)' + chr(92) + 'b')}))) > 0)"
+    labels = " OR ".join(words(s, k) for s, k in (("echoed", "assistant[- ]coined|echoed"), ("unsourced", "cleaned|paraphrase"), ("not_authored", "pasted|chip|clicked")))
+    grams = lambda toks: f"list_distinct(list_transform(range(1, len({toks}) - {P.QUOTE_RUN - 2}), lambda i: array_to_string({toks}[i:i + {P.QUOTE_RUN - 1}], ' ')))"
+    return f"""
+each AS (SELECT DISTINCT quote FROM quoted),
+cutup AS (SELECT quote, list_filter(list_transform(string_split_regex(quote, '\\.\\.\\.|…|\\[\\.\\.\\.\\]'), lambda s: {norm('s')}), lambda s: length(s) >= {P.MIN_SEGMENT}) AS found, {norm('quote')} AS whole FROM each),
+seg AS (SELECT quote, whole, CASE WHEN len(found) > 0 THEN found ELSE [whole] END AS segs FROM cutup),
+raw_turn AS (SELECT conv_no, pos, role, {norm('text')} AS said, {fold('text')} AS f FROM turns),
+told AS (SELECT *, {n('f', P.WORD)} AS n_words FROM raw_turn),
+speech AS (SELECT conv_no, pos, role, said, CASE WHEN role = 'user' THEN {label('f', 'n_words')} IN ('authored', 'own_voice') END AS mine FROM told),
+hit AS (SELECT s.quote, t.conv_no, t.pos, t.mine FROM seg s JOIN speech t ON t.role = 'user' AND len(list_filter(s.segs, lambda x: NOT contains(t.said, x))) = 0),
+near_turn AS (SELECT conv_no, pos, role, mine, string_split(said, ' ') AS toks FROM speech WHERE conv_no IN (SELECT conv_no FROM hit) AND said <> ''),
+run AS (SELECT conv_no, pos, role, mine, unnest({grams('toks')}) AS run FROM near_turn),
+owners AS (SELECT conv_no, run, min(pos) FILTER (mine) AS owner, min(pos) FILTER (role = 'assistant') AS theirs FROM run GROUP BY 1, 2),
+ask AS (SELECT quote, unnest({grams('toks')}) AS run FROM (SELECT quote, string_split(whole, ' ') AS toks FROM seg)),
+lent AS (
+  SELECT h.quote, h.conv_no, min(o.theirs) AS theirs FROM (SELECT DISTINCT quote, conv_no FROM hit WHERE mine) h JOIN ask a USING (quote) JOIN owners o ON o.conv_no = h.conv_no AND o.run = a.run
+  WHERE o.theirs IS NOT NULL AND (o.owner IS NULL OR o.owner >= o.theirs) GROUP BY 1, 2),
+judged AS (SELECT h.quote, bool_or(h.mine) AS any_mine, bool_or(h.mine AND (l.theirs IS NULL OR l.theirs >= h.pos)) AS clean FROM hit h LEFT JOIN lent l ON l.quote = h.quote AND l.conv_no = h.conv_no GROUP BY 1),
+state AS (SELECT e.quote, CASE WHEN j.quote IS NULL THEN 'unsourced' WHEN NOT j.any_mine THEN 'not_authored' WHEN j.clean THEN 'ok' ELSE 'echoed' END AS status FROM each e LEFT JOIN judged j USING (quote)),
+checks AS (SELECT file, line, quote, status, {labels} AS labeled FROM (SELECT *, regexp_extract_all(context, '\\*\\*([^*\\n]+?)\\*\\*', 1) AS bold FROM quoted JOIN state USING (quote)))"""
+
+
+def stems(x: str) -> str:
+    """The names that links in a text lead to."""
+    tidy = "regexp_replace(regexp_replace(x, '^\\[\\[|^\\]\\(', ''), '\\.md\\)$', '')"
+    return f"list_filter(list_transform(regexp_extract_all({x}, '\\[\\[[^\\]|\\\\]+|\\]\\([^)]+?\\.md\\)'), lambda x: trim(regexp_replace({tidy}, CASE WHEN x LIKE '[[%' THEN '^$' ELSE '.*/' END, ''))), lambda s: s <> '')"
+
+
+def gated(with_quotes: bool) -> str:
+    """After notes, and checks if with_quotes: gate(file, problems list, cited list)."""
+    failed = ", CASE WHEN file IN (SELECT file FROM checks WHERE status <> 'ok' AND NOT labeled) THEN 'quotations fail' END, CASE WHEN file IN (SELECT 'note-' || doc_id || '.md' FROM documents WHERE lower(trim(source)) = 'note_final') THEN 'a note of this name exists' END" if with_quotes else ""
+    return f"""
+form AS (
+  SELECT file, content, regexp_matches(content, '(?s)^---\\n(.*?)\\n---\\n') AS front, regexp_matches(regexp_extract(content, '(?s)^---\\n(.*?)\\n---\\n', 1), '(?m)^source:\\s*\\S') AS source,
+    list_distinct(list_filter(flatten(list_transform(regexp_extract_all(content, '(?im)^\\*?Sources?:\\*?(.*)$', 1), lambda y: {stems('y')})), lambda s: regexp_matches(s, '^\\d{{4}}-\\d{{2}}-\\d{{2}}-'))) AS cites
+  FROM (SELECT file, coalesce(content, '') AS content FROM notes)),
+there AS (SELECT list(DISTINCT regexp_replace(file, '\\.md$', '')) AS all_stems FROM conv_index),
+gate AS (
+  SELECT file, list_filter([CASE WHEN NOT front THEN 'no frontmatter block' END, CASE WHEN front AND NOT source THEN 'frontmatter has no source' END, CASE WHEN len(cites) = 0 THEN 'cites no conversation' END,
+      CASE WHEN len(list_filter(cites, lambda c: NOT list_contains(all_stems, c))) > 0 THEN 'cites an unknown conversation' END{failed}], lambda x: x IS NOT NULL) AS problems,
+    list_sort(list_filter(cites, lambda c: list_contains(all_stems, c))) AS cited
+  FROM form, there)"""
+
+
+def quotation_queries(before: str, notes: str, turns: str) -> dict[str, str]:
+    """The SQL of the queries over notes. ``before`` opens with WITH RECURSIVE and ends in turns."""
+    base = f"{before}, {notes}, {quoted()}, {checked()}"
+    return {
+        "note_quotes": f"WITH {notes}, {quoted()} SELECT file, line, quote FROM quoted",
+        "quote_checks": f"{base} SELECT file, line, quote, status, labeled FROM checks",
+        "quote_summary": f"{base} SELECT status, labeled, count(*) AS quotes FROM checks GROUP BY 1, 2",
+        "note_problems": f"{base}, {gated(True)} SELECT file, array_to_string(problems, '; ') AS problems, len(cited)::INTEGER AS cited FROM gate",
+        "promoted_pending": f"""WITH {notes}, {gated(False)},
+k AS (SELECT regexp_replace(file, '\\.md$', '') AS stem, file, max(user_turns) AS user_turns, arg_max(conversation_id, (coalesce(user_turns, -1), coalesce(conversation_id, ''))) AS conversation_id FROM conv_index WHERE file IS NOT NULL GROUP BY 1, 2),
+c AS (SELECT file AS note, unnest(cited) AS stem FROM gate WHERE len(problems) = 0),
+p AS (SELECT coalesce(nullif(k.conversation_id, ''), k.file) AS rec_key, k.file, k.user_turns, c.note FROM k JOIN c USING (stem))
+SELECT rec_key, min(file) AS file, min(user_turns)::BIGINT AS user_turns, array_to_string(list_sort(list_distinct(list(note))), ' ') AS notes FROM p GROUP BY 1""",
+    }

@@ -3,6 +3,7 @@
 Exports are batches, so this extends them: a folder that new files land in is
 read as a stream, and a batch that is repeated after a failure overwrites its
 own output and changes nothing in the ledger, as both go by batch number and key.
+The ledger's key is that of batch runs: conversation_id, or the file name without one.
 """
 
 from __future__ import annotations
@@ -14,8 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from threadmill.config import Config
-from threadmill.operators import authorship, turns
-from threadmill.operators.incremental import WorkLedger
+from threadmill.operators import authorship, catalog, turns
+from threadmill.operators.incremental import WorkLedger, record_key
+from threadmill.session import scratch
+from threadmill.sources.versioned import Moved
+
+#: How often a batch tries again when another writer published to the ledger first.
+RETRIES = 20
 
 
 def run(spark: SparkSession, folder: str, out: str, ledger_root: str, cfg: Config | None = None, read: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
@@ -25,10 +31,18 @@ def run(spark: SparkSession, folder: str, out: str, ledger_root: str, cfg: Confi
     ledger = WorkLedger(spark, ledger_root)
 
     def batch(df: DataFrame, number: int) -> None:
-        rows = authorship.metrics(turns.linearized(read(df) if read else df), cfg)
-        rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        with scratch(spark):
+            conversations = read(df) if read else df
+            rows = catalog.named(authorship.metrics(turns.linearized(conversations), cfg).join(catalog.heads(conversations), "conv_no"))
+            rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
         written = df.sparkSession.read.parquet(f"{out}/batch={number}")
-        ledger.enqueue(written.select(F.col("conv_no").cast("string").alias("rec_key"), F.col("user_turns").alias("size")))
+        for _ in range(RETRIES):
+            try:
+                ledger.enqueue(written.select(record_key().alias("rec_key"), F.col("user_turns").alias("size")))
+                return
+            except Moved:
+                continue
+        raise Moved(f"other writers were faster {RETRIES} times")
 
     return source.writeStream.foreachBatch(batch).option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start()
 

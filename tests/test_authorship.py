@@ -105,7 +105,7 @@ def test_no_text_is_normalised_inside_a_lambda(spark):
     rows = A.labelled(A.with_before(turns(spark, [(1, 0, "assistant", COINED, 1.0), (1, 1, "user", COINED, 2.0)])))
     plan = A.echoes(rows)._jdf.queryExecution().optimizedPlan().toString()
     sliced = re.findall(r"slice\(([^,]+),", plan)
-    assert len(sliced) >= 4 and all(re.fullmatch(r"(toks|theirs)#\d+", x) for x in sliced)
+    assert len(sliced) >= 2 and all(re.fullmatch(r"(toks|theirs)#\d+", x) for x in sliced)
 
 
 def test_coursework(spark):

@@ -140,6 +140,9 @@ def test_review_round(spark, tmp_path):
     assert cli.main(["ledger", "sync", "--index", str(w / "index"), "--shortlist", str(w / "SHORTLIST.md"), "--ledger", led, "--as-of", "2024-01-02"]) == 0
     done, waiting = exports.read_ledger(spark, led)
     assert {r["rec_key"]: r["status"] for r in done.collect()} == {"a": "reviewed"} and [r["rec_key"] for r in waiting.collect()] == ["b"]
+    assert cli.main(["verify", str(notes), "--transcripts", str(w / "conversations")]) == cli.main(["verify", str(notes), "--export", str(src)]) == 0
+    assert [r["text"] for r in markdown.user_turns(markdown.read(spark, str(w / "conversations"))).where("file like '%second%'").collect()] == [LONG + "Again.\n\n---\n\nA rule above."]
+    assert {r["conversation_id"] for r in markdown.read_index(spark, str(w / "index"), str(w / "conversations")).collect()} == {"a", "b"}
     assert cli.main(["rank", str(src), "--out", str(w), "--ledger", led, "--force", "--top", "5"]) == 0
     again = (w / "SHORTLIST.md").read_text()
     assert "second-thing" in again and "first-thing" not in again

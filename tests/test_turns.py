@@ -53,6 +53,39 @@ def test_links_and_tables(spark):
     assert table.where("conv_no = 1").count() == 3 and table.where("conv_no is null").count() == 1
     got = {(r["parent_id"], r["child_id"]) for r in nested.links(table).collect()}
     assert got == {("r", "a"), ("a", "b"), ("b", "r")}
-    assert nested.messages(df).count() == 3 and nested.parts(df).count() == 3 and nested.attachments(df).count() == 0
+    said = nested.messages(df)
+    assert said.count() == 3 and nested.parts(said).count() == 3 and nested.attachments(said).count() == 0
     assert nested.records(df).count() == 4
     assert nested.links(nested.nodes(conversation(spark, []))).collect() == []
+
+
+def test_everything_lies_inside_what_holds_it(spark):
+    import datetime as dt
+
+    from threadmill.sources.exports import NODE
+
+    schema = f"conv_no long, mapping map<string, {NODE}>, exported_at timestamp"
+    att = lambda *ids: [(i, "image/png", 1) for i in ids]
+    node = lambda n, parent, parts, atts: (n, parent, [], None if parts is None else (f"m{n}", ("user",), None, ("text", parts), (None, atts)))
+    one = {"a": node("a", None, None, None), "b": node("b", "a", ["x", None, "y"], att("p", "q")), "c": node("c", "b", [], None), "d": node("d", "b", None, None), "e": node("e", "d", ["z"], att("r"))}
+    two = one | {"e": node("e", "d", ["changed"], att("r"))}
+    day = [dt.datetime(2024, 1, d) for d in (1, 2, 3)]
+    df = spark.createDataFrame([(1, one, day[1]), (1, one, day[0]), (1, two, day[2]), (2, None, day[0]), (3, {}, day[0])], schema)
+    labels = nested.nodes(df)
+    said = nested.messages(df, labels)
+    parts, atts = nested.parts(said), nested.attachments(said)
+    rows = [(t, r["rec"], r["pre"], r["post"], name(r)) for t, d, name in (("node", labels, lambda r: r["node_id"]), ("message", said, lambda r: r["message_id"]), ("part", parts, lambda r: r["part"]), ("attachment", atts, lambda r: r["attachment_id"])) for r in d.collect()]
+    assert len({r[1] for r in rows}) == 2 and {r["version"] for r in said.collect()} == {day[0], day[2]}
+    for rec in {r[1] for r in rows}:
+        mine = [r for r in rows if r[1] == rec]
+        numbers = [n for r in mine for n in r[2:4]]
+        assert sorted(numbers) == list(range(len(numbers)))
+
+        def holder(x):
+            return max((r for r in mine if r[2] < x[2] and x[3] < r[3]), key=lambda r: r[2], default=(None,) * 5)[4]
+
+        found = {(r[0], r[4]): holder(r) for r in mine}
+        assert found[("message", "mb")] == "b" and found[("part", "x")] == found[("part", None)] == found[("attachment", "q")] == "mb" and found[("attachment", "r")] == "me"
+        assert found[("node", "b")] == "a" and found[("node", "e")] == "d" and found[("node", "a")] is None
+    held = nested.within(atts, nested.within(said, labels, ["node_id"]), ["node_id"]).select("version", "node_id", "attachment_id").collect()
+    assert {(r["version"], r["node_id"], r["attachment_id"]) for r in held} == {(d, n, a) for d in (day[0], day[2]) for n, a in (("b", "p"), ("b", "q"), ("e", "r"))}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from threadmill import config
 from threadmill.operators import authorship, catalog, chunks, profile, review, shortlist, turns, verify
-from threadmill.session import hadoop_path, local_session, scratch
+from threadmill.session import hadoop_path, local_session, scratch, stored
 from threadmill.sources import exports, markdown, sinks
 
 
@@ -55,7 +55,9 @@ def _arguments() -> argparse.ArgumentParser:
     add("rank", "out", "limit", "rank", "force", "as_of", source=export)
     add("voice", "out", "limit", "rank", source=export)
     add("run", "out", "limit", "rank", "force", "as_of", source=export)
-    add("verify", source="a folder of notes").add_argument("--export", required=True)
+    against = add("verify", source="a folder of notes").add_mutually_exclusive_group(required=True)
+    against.add_argument("--export")
+    against.add_argument("--transcripts", help="a folder of transcripts instead of the export")
     gate = add("promote", source="a folder of staged notes")
     gate.add_argument("--export", required=True)
     gate.add_argument("--notes", help="where notes go (default: the configured path)")
@@ -67,6 +69,7 @@ def _arguments() -> argparse.ArgumentParser:
     led.add_argument("stems", nargs="*")
     led.add_argument("--config")
     led.add_argument("--index", required=True, help="the index that parse wrote")
+    led.add_argument("--transcripts", help="where ids are looked up that the index lacks")
     led.add_argument("--shortlist")
     led.add_argument("--ledger")
     led.add_argument("--status", choices=["reviewed", "promoted"], default="reviewed")
@@ -108,7 +111,7 @@ def _promote(spark: SparkSession, args: argparse.Namespace, cfg: config.Config)
     rows, said = catalog.index(exports.read(spark, args.export), cfg)
     folder = args.notes or cfg.paths["notes"]
     present = None if args.replace else markdown.read(spark, folder).select("file")
-    problems = review.note_problems(notes, rows, verify.check(notes, said), present).cache()
+    problems = stored(review.note_problems(notes, rows, verify.check(notes, said), present))
     refused = problems.where(F.size("problems") > 0)
     refused.select("file", F.array_join("problems", "; ").alias("problems")).show(1000, False)
     if not args.check:
@@ -122,7 +125,7 @@ def _promote(spark: SparkSession, args: argparse.Namespace, cfg: config.Config)
 
 def _ledger(spark: SparkSession, args: argparse.Namespace, cfg: config.Config) -> int:
     path = args.ledger or cfg.paths["ledger"]
-    rows = spark.read.json(args.index)
+    rows = markdown.read_index(spark, args.index, args.transcripts)
     ledger, pending = exports.read_ledger(spark, path)
     if args.action == "show":
         review.state_counts(rows, ledger).orderBy("state").show(20, False)
@@ -143,7 +146,8 @@ def _ledger(spark: SparkSession, args: argparse.Namespace, cfg: config.Config) -
 
 
 def _verify(spark: SparkSession, args: argparse.Namespace) -> int:
-    results = verify.check(markdown.read(spark, args.source), turns.linearized(exports.read(spark, args.export))).cache()
+    said = markdown.as_turns(markdown.read(spark, args.transcripts)) if args.transcripts else turns.linearized(exports.read(spark, args.export))
+    results = stored(verify.check(markdown.read(spark, args.source), said))
     verify.summary(results).show()
     return int(not verify.failures(results).isEmpty())
 

@@ -3,9 +3,10 @@
 The fingerprint of a record is its list of (path, JSON type, kind of value).
 Records with one fingerprint share one version of the schema, so the route from
 that version to the reference shape is worked out once per version and not once
-per record: rename steps first, then cast steps, then defaults for what is
-missing. Every step taken is recorded; the drift report is these records summed
-by shard.
+per record: rename steps first, then defaults for what is missing, then casts.
+Every step taken is recorded; the drift report is these records summed by shard.
+The versions are kept in the order they were first written in, each with the
+changes that led to it from the one before (``history``).
 
 Cases: unreadable payloads (broken JSON, null, JSON that is no object) count for
 nothing and give no row. A key with a null value is carried but has no type.
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 from datetime import datetime, timezone
 from functools import lru_cache
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -155,10 +157,11 @@ def migration(version: str) -> tuple[dict[str, tuple[str, str]], tuple[tuple[str
     steps = []
     free = {path: fields for path, _, _, fields in rows if path not in REFERENCE}
     for field in REFERENCE:
-        if field in route:
-            continue
         names = RENAMES[field]
         found = [p for p, fields in free.items() if field in fields]
+        if field in route:
+            # a key that is left behind with null, while its value stands elsewhere, was renamed too
+            found = [p for p in found if types[field] == "null" and types[p] != "null" and _leaf(p) in names]
         if found:
             best = min(found, key=lambda p: (types[p] == "null", p.rpartition(".")[0] != field.rpartition(".")[0], names.index(_leaf(p)) if _leaf(p) in names else len(names), p))
             route[field] = (best, types[best])
@@ -258,16 +261,23 @@ def _parts(value: object) -> list[str | None] | None:
 
 CASTS = {"author.role": lambda v: _coded(v, ROLE_CODES), "content.content_type": lambda v: _coded(v, TYPE_CODES), "create_time": _seconds, "content.parts": _parts, "metadata": lambda v: None if v is None else json.dumps(v, ensure_ascii=False)}
 
-UNIFIED = pa.schema([("shard_no", pa.int64()), ("shard_file", pa.string()), ("rec_no", pa.int32()), ("id", pa.string()), ("conversation_id", pa.string()), ("parent", pa.string()), ("role", pa.string()), ("create_time", pa.float64()), ("content_type", pa.string()), ("parts", pa.list_(pa.string())), ("metadata", pa.string()), ("extra", pa.string()), ("changes", pa.list_(pa.string()))])
-UNIFIED_DDL = "shard_no long, shard_file string, rec_no int, id string, conversation_id string, parent string, role string, create_time double, content_type string, parts array<string>, metadata string, extra string, changes array<string>"
+#: Default steps: what a record without the field has instead. Other fields have no value that would be true of every record, and stay null.
+DEFAULTS = {"content.parts": [], "metadata": {}}
+
+UNIFIED = pa.schema([("shard_no", pa.int64()), ("shard_file", pa.string()), ("rec_no", pa.int32()), ("id", pa.string()), ("conversation_id", pa.string()), ("parent", pa.string()), ("role", pa.string()), ("create_time", pa.float64()), ("content_type", pa.string()), ("parts", pa.list_(pa.string())), ("metadata", pa.string()), ("extra", pa.string()), ("changes", pa.list_(pa.string())), ("exported_at", pa.timestamp("us", "UTC"))])
+UNIFIED_DDL = "shard_no long, shard_file string, rec_no int, id string, conversation_id string, parent string, role string, create_time double, content_type string, parts array<string>, metadata string, extra string, changes array<string>, exported_at timestamp"
 
 
 def migrate(record: dict) -> tuple[dict, dict, list[str]]:
-    """(reference fields, added fields, steps taken) of one record."""
+    """(reference fields, added fields, steps taken) of one record: renamed, then defaulted, then cast."""
     route, steps = migration(fingerprint(record))
     at = dict(leaves(record))
-    fields = {f: CASTS.get(f, _text)(at[path]) for f, (path, _) in route.items() if path in at}
-    return fields, {p: at[p] for p, s in steps if s == "added" and p in at}, [f"{s} {f}" for f, s in steps]
+    fields = {f: at[path] for f, (path, _) in route.items() if path in at}
+    missing = [f for f in DEFAULTS if f not in fields]
+    fields |= {f: DEFAULTS[f] for f in missing}
+    fields = {f: CASTS.get(f, _text)(v) for f, v in fields.items()}
+    taken = [f"{s} {f}" for f, s in steps if s == "renamed"] + [f"defaulted {f}" for f in missing] + [f"{s} {f}" for f, s in steps if s != "renamed"]
+    return fields, {p: at[p] for p, s in steps if s == "added" and p in at}, taken
 
 
 def _unify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,15 +287,47 @@ def _unify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (record := _readable(row["payload"])) is None:
                 continue
             fields, extra, changes = migrate(record)
-            out.append((row["shard_no"], row["shard_file"], row["rec_no"], *(fields.get(f) for f in REFERENCE), json.dumps(extra, ensure_ascii=False) if extra else None, changes))
+            out.append((row["shard_no"], row["shard_file"], row["rec_no"], *(fields.get(f) for f in REFERENCE), json.dumps(extra, ensure_ascii=False) if extra else None, changes, row["exported_at"]))
         yield pa.record_batch([pa.array([r[i] for r in out], f.type) for i, f in enumerate(UNIFIED)], schema=UNIFIED)
 
 
 def unify(raw: DataFrame) -> DataFrame:
-    """All readable records as one message table; rows delivered twice are kept once.
+    """All readable records as one message table; of deliveries of one record the latest is kept, of equally late ones the greatest.
 
     Role names come in lower case; ``extra`` holds fields the reference doesn't
     know as JSON, ``changes`` the steps that were taken.
     """
-    rows = raw.select("shard_no", "shard_file", "rec_no", "payload").mapInArrow(_unify, UNIFIED_DDL)
-    return rows.withColumn("role", F.lower(F.trim("role"))).dropDuplicates(["shard_no", "rec_no", "id"])
+    rows = raw.select("shard_no", "shard_file", "rec_no", "payload", "exported_at").mapInArrow(_unify, UNIFIED_DDL)
+    rows = rows.withColumn("role", F.lower(F.trim("role")))
+    rest = [c for c in rows.columns if c not in ("shard_no", "rec_no", "id", "exported_at")]
+    return rows.groupBy("shard_no", "rec_no", "id").agg(F.max(F.struct("exported_at", *rest)).alias("r")).select(*[f"r.{c}" if c in rest else c for c in rows.columns if c != "exported_at"])
+
+
+def changes_between(before: str | None, after: str) -> list[str]:
+    """What a version has and the one before lacks, and the other way round, by path and type."""
+    shape = lambda v: {p: t for p, t, *_ in json.loads(v)} if v else {}
+    old, new = shape(before), shape(after)
+    gone, come = sorted(old.keys() - new.keys()), sorted(new.keys() - old.keys())
+    kept = sorted(p for p in old.keys() & new.keys() if old[p] != new[p] and "null" not in (old[p], new[p]))
+    return [f"- {p}" for p in gone] + [f"+ {p}: {new[p]}" for p in come] + [f"{p}: {old[p]} -> {new[p]}" for p in kept]
+
+
+HISTORY_DDL = "version_no long, version string, first_shard long, shards long, records long, changes array<string>, steps array<string>"
+
+
+def history(raw: DataFrame) -> DataFrame:
+    """The versions in the order they were first written in, with the changes from the one before and the route to the reference shape.
+
+    There is a row for every distinct fingerprint. Their number follows from the
+    shapes that writers use, not from the records, so one task puts them in order.
+    """
+    by = versions(raw).groupBy("version").agg(F.min("shard_no").alias("first_shard"), F.count("*").alias("shards"), F.sum("records").alias("records"))
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values(["first_shard", "version"]).reset_index(drop=True)
+        before = [None, *rows["version"][:-1]]
+        rows["changes"] = [changes_between(b, v) for b, v in zip(before, rows["version"])]
+        rows["steps"] = [[f"{s} {f}" for f, s in migration(v)[1]] for v in rows["version"]]
+        return rows.assign(version_no=range(len(rows)))[["version_no", "version", "first_shard", "shards", "records", "changes", "steps"]]
+
+    return by.withColumn("all", F.lit("all")).groupBy("all").applyInPandas(chain, HISTORY_DDL)

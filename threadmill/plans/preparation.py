@@ -29,9 +29,9 @@ def p3_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_versions(spark: SparkSession, folder: str) -> DataFrame:
-    """Schema versions: shards and records written in each."""
-    found = drift.versions(table(spark, folder, "raw_shards"))
-    return found.groupBy(F.md5("version").alias("version")).agg(F.count("*").alias("shards"), F.sum("records").alias("records"))
+    """The history of schema versions: what changed from one to the next, and the steps from each to the reference shape."""
+    found = drift.history(table(spark, folder, "raw_shards"))
+    return found.select("version_no", F.md5("version").alias("version"), "first_shard", "shards", "records", "changes", "steps")
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,23 +39,37 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_nodes(spark: SparkSession, folder: str) -> DataFrame:
-    return nested.nodes(table(spark, folder, "conversations")).drop("cross_parents")
+    """Every node with its labels and the version of the record it comes from."""
+    rows = table(spark, folder, "conversations")
+    version = nested.versions(rows).select(F.col("conv_no").alias("_c"), F.col("rec").alias("_r"), "version")
+    return nested.nodes(rows).join(version, F.col("conv_no").eqNullSafe(F.col("_c")) & (F.col("rec") == F.col("_r"))).drop("_c", "_r", "cross_parents")
 
 
 def p7_records(spark: SparkSession, folder: str) -> DataFrame:
     return nested.records(table(spark, folder, "conversations")).drop("rec")
 
 
+def _p7_messages(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    rows = table(spark, folder, "conversations")
+    labels = nested.nodes(rows)
+    return nested.messages(rows, labels), labels
+
+
 def p7_messages(spark: SparkSession, folder: str) -> DataFrame:
-    return nested.messages(table(spark, folder, "conversations")).drop("rec")
+    """Messages with the node whose interval holds theirs."""
+    said, labels = _p7_messages(spark, folder)
+    return nested.within(said, labels, ["node_id"]).select("conv_no", "version", "node_id", "message_id", "role", "create_time", "content_type", "hidden", "n_parts")
 
 
 def p7_parts(spark: SparkSession, folder: str) -> DataFrame:
-    return nested.parts(table(spark, folder, "conversations")).drop("rec")
+    """Parts with the message, and the node of that, whose intervals hold theirs."""
+    said, labels = _p7_messages(spark, folder)
+    return nested.within(nested.parts(said), nested.within(said, labels, ["node_id"]), ["node_id"]).select("conv_no", "version", "node_id", "part_no", "part")
 
 
 def p7_attachments(spark: SparkSession, folder: str) -> DataFrame:
-    return nested.attachments(table(spark, folder, "conversations")).drop("rec")
+    said, labels = _p7_messages(spark, folder)
+    return nested.within(nested.attachments(said), nested.within(said, labels, ["node_id"]), ["node_id"]).select("conv_no", "version", "node_id", "attachment_no", "attachment_id", "mime", "size")
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_items, p3_found, p3_messages, p3_versions, p7_found, p7_nodes, p7_records, p7_messages, p7_parts, p7_attachments)}
@@ -75,8 +89,9 @@ SELECT i.rec_key, i.size, d.done_size,
 FROM items i LEFT JOIN done d USING (rec_key)"""
 
 _NODES = """
-WITH m AS (SELECT conv_no, unnest(map_entries(mapping)) AS e FROM conversations WHERE mapping IS NOT NULL),
-n AS (SELECT conv_no, e.key AS node_id, e.value AS node FROM m)"""
+WITH v AS (SELECT conv_no, mapping, min(exported_at) AS version FROM conversations WHERE mapping IS NOT NULL GROUP BY 1, 2),
+m AS (SELECT conv_no, version, unnest(map_entries(mapping)) AS e FROM v),
+n AS (SELECT conv_no, version, e.key AS node_id, e.value AS node FROM m)"""
 
 SQL = {
     "p1_items": _P1,
@@ -93,14 +108,14 @@ WHERE s.parent_id <> s.child_id
     "p7_records": """SELECT DISTINCT conv_no, coalesce(nullif(conversation_id, ''), id) AS conversation_id, title, create_time, current_node,
   coalesce(cardinality(mapping), 0)::INTEGER AS n_nodes, exported_at FROM conversations""",
     "p7_messages": f"""{_NODES}
-SELECT DISTINCT conv_no, node_id, node.message.id AS message_id, node.message.author.role AS role, node.message.create_time AS create_time,
+SELECT conv_no, version, node_id, node.message.id AS message_id, node.message.author.role AS role, node.message.create_time AS create_time,
   node.message.content.content_type AS content_type, node.message.metadata.is_visually_hidden_from_conversation AS hidden,
   len(node.message.content.parts)::INTEGER AS n_parts FROM n WHERE node.message IS NOT NULL""",
     "p7_parts": f"""{_NODES}
-SELECT DISTINCT conv_no, node_id, (i - 1)::INTEGER AS part_no, node.message.content.parts[i] AS part
+SELECT conv_no, version, node_id, (i - 1)::INTEGER AS part_no, node.message.content.parts[i] AS part
 FROM (SELECT *, unnest(range(1, len(node.message.content.parts) + 1)) AS i FROM n WHERE node.message IS NOT NULL)""",
     "p7_attachments": f"""{_NODES}
-SELECT DISTINCT conv_no, node_id, (i - 1)::INTEGER AS attachment_no, a.id AS attachment_id, a.mime AS mime, a.size AS size
+SELECT conv_no, version, node_id, (i - 1)::INTEGER AS attachment_no, a.id AS attachment_id, a.mime AS mime, a.size AS size
 FROM (SELECT *, node.message.metadata.attachments[i] AS a FROM
   (SELECT *, unnest(range(1, len(node.message.metadata.attachments) + 1)) AS i FROM n WHERE node.message IS NOT NULL))""",
 }

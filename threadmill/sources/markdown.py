@@ -65,6 +65,24 @@ def dialogue(files: DataFrame, keep_blank: bool = False) -> DataFrame:
     return out if keep_blank else out.where("text <> ''")
 
 
+def user_turns(files: DataFrame) -> DataFrame:
+    """(file, pos, text) of the owner's turns alone, blank ones left out."""
+    return dialogue(files).where("role = 'user'").select("file", "pos", "text")
+
+
+def as_turns(files: DataFrame, keep_blank: bool = True) -> DataFrame:
+    """Transcripts as turns (conv_no, pos, role, text, ts), a conversation for each file; times aren't in them."""
+    return dialogue(files, keep_blank).select(F.xxhash64("file").alias("conv_no"), "pos", "role", "text", F.lit(None).cast("double").alias("ts"))
+
+
+def read_index(spark: SparkSession, index: str, transcripts: str | None = None) -> DataFrame:
+    """The index that sinks.write_index wrote; ids that an older one lacks come from the heads of the transcripts."""
+    rows = spark.read.json(index)
+    if "conversation_id" not in rows.columns:
+        rows = rows.withColumn("conversation_id", F.lit(None).cast("string"))
+    return backfill_ids(rows, read(spark, transcripts)) if transcripts else rows
+
+
 def backfill_ids(index: DataFrame, files: DataFrame) -> DataFrame:
     """index with missing conversation_ids from the heads of the transcripts of the same file name."""
     from threadmill.operators.review import CONVERSATION_ID

@@ -37,10 +37,20 @@ def test_forgetting_words_changes_nothing(public, monkeypatch):
         assert enc.ids([t]).to_pylist() == [public(t)]
 
 
-def test_very_long_word(public):
+@pytest.mark.parametrize(("alphabet", "size"), [("abcdefghij", 17_000), ("a", 20_000), ("ab", 9_000), ("etaoin shrdlu", 3_000), ("日本語é", 2_000), ("th ein", 40_000)])
+def test_words_of_any_length_go_one_way(public, alphabet, size, monkeypatch):
     rnd = random.Random(1)
-    word = "".join(rnd.choice("abcdefghij") for _ in range(encode.HEAP_BYTES + 500))
+    word = "".join(rnd.choice(alphabet) for _ in range(size))
     assert encode.encoder(encode.VOCABULARY).ids([word]).to_pylist() == [public(word)]
+    # a query that may take few steps goes on where it stopped
+    monkeypatch.setattr(encode, "CHUNK_ROWS", 2 * size)
+    assert encode.Encoder(encode.VOCABULARY).ids([word, "and short ones"]).to_pylist() == [public(word), public("and short ones")]
+
+
+def test_neighbours_of_one_rank_and_of_rising_and_falling_ranks(public):
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice(["a", "aa", "in", "ing", "er", "th", "e", " "]) for _ in range(rnd.randint(1, 30))) for _ in range(400)]
+    assert encode.Encoder(encode.VOCABULARY).ids(words).to_pylist() == [public(w) for w in words]
 
 
 def pieces_hold(text, pieces, public, limit, overlap):
@@ -66,6 +76,13 @@ def test_split_pieces(public):
     assert len(public(exact)) == 512 and splitting.split_text(exact, enc, 512, 64) == [] and len(splitting.split_text(exact + " more", enc, 512, 64)) == 2
 
 
+def test_a_limit_that_nothing_keeps_is_an_error():
+    enc = encode.encoder(encode.VOCABULARY)
+    with pytest.raises(ValueError, match="no pieces"):
+        splitting.split_text("𒍲𒀽𒋊", enc, 1, 0)
+    assert "".join(p["piece"] for p in splitting.split_text("𒍲𒀽𒋊 abc", enc, 4, 0)) == "𒍲𒀽𒋊 abc"
+
+
 def test_split_query(spark):
     rows = [(1, "w " * 3000), (1, "w " * 3000), (2, "short"), (3, None), (4, ""), (5, "  "), (6, "日本" * 1000)]
     df = spark.createDataFrame(rows, "doc_id long, text string")

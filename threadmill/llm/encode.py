@@ -3,8 +3,9 @@
 A text is split into words by the vocabulary's published pattern; merges never
 cross words. The distinct words of a partition that have no ids yet go to
 DuckDB as token-position rows. A recursive query joins neighbouring tokens with
-the merge table and contracts, word by word, the pair of least rank from the
-left, until no pair is left; an ordered aggregation reads the ids off. Texts are
+the merge table and contracts, word by word, the pairs of least rank from the
+left, until no pair is left; an ordered aggregation reads the ids off. Words of
+any length go the same way. Texts are
 then put together from the ids of their words, so a word costs merges once per
 worker and not once per occurrence.
 
@@ -31,49 +32,43 @@ KEPT_WORDS = 400_000
 #: Characters of texts that are joined and converted at once.
 SLICE_CHARS = 4_000_000
 
-#: Words of up to 60 bytes, one contraction a step: the least rank, then the leftmost place, are found as the least number.
-MERGE_SHORT = """
-WITH RECURSIVE step(w, p, tok, n) AS (
-  SELECT w, p, tok, 0 FROM symbols
-  UNION ALL
-  SELECT s.w, s.p, CASE WHEN s.p = (best >> 6) & 63 THEN (best >> 12)::INT ELSE s.tok END, s.n + 1
-  FROM step s JOIN (
-    SELECT s.w, min((m.made::BIGINT << 12) | (s.p << 6) | s.after) AS best
-    FROM (SELECT *, lead(tok) OVER word AS following, lead(p) OVER word AS after FROM step WINDOW word AS (PARTITION BY w ORDER BY p)) s
-    JOIN merges m ON s.tok = m.a AND s.following = m.b GROUP BY s.w) b ON s.w = b.w
-  WHERE s.p <> best & 63
-)
-SELECT w, list(tok ORDER BY p) AS ids
-FROM step SEMI JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n) GROUP BY w
-"""
-#: Longer words: all places of the pair of least rank in one step. Contracting them from the left, one after
-#: another, gives the same, as a pair with the new token ranks behind it; of places that overlap every second is taken.
-MERGE_LONG = """
+#: One step contracts every pair that the contraction from the least rank up would contract anyway before anything could
+#: change it. A token made by rank r takes part in pairs of rank ``next_use`` of r or more only; so below the least next_use
+#: of a word's pairs no new pair can come up (``bound``). There, a pair whose neighbours have larger ranks is contracted for
+#: certain; of neighbours of one rank, as in a run of one letter, every second from the left, once what stands left of the
+#: run is settled. The least pair of a word always qualifies, so every step contracts something until no pair is left.
+MERGE = """
 WITH RECURSIVE step(w, i, tok, n) AS (
   SELECT w, p, tok, 0 FROM symbols
   UNION ALL
-  SELECT w, (row_number() OVER (PARTITION BY w ORDER BY i) - 1)::INT, tok, n
+  SELECT w, i, CASE WHEN taken THEN made ELSE tok END, n + 1
   FROM (
-    SELECT w, i, CASE WHEN taken THEN least ELSE tok END AS tok, n + 1 AS n, lag(taken, 1, false) OVER (PARTITION BY w ORDER BY i) AS absorbed
+    SELECT w, i, tok, n, made, taken, lag(taken, 1, false) OVER word AS absorbed
     FROM (
-      SELECT w, i, tok, n, least, coalesce(made = least, false) AND (i - run) % 2 = 0 AS taken
+      SELECT *, made IS NOT NULL AND (place - (run >> 1)) % 2 = 0 AND run & 1 = 1 AND coalesce(after >= made, true) AS taken
       FROM (
-        SELECT *, coalesce(max(CASE WHEN made IS NULL THEN i + 1 END) OVER (PARTITION BY w ORDER BY i ROWS UNBOUNDED PRECEDING), 0) AS run
+        SELECT *, max(CASE WHEN made IS DISTINCT FROM before THEN (place << 1) | (CASE WHEN coalesce(before > made, true) THEN 1 ELSE 0 END) END) OVER word AS run
         FROM (
-          SELECT s.*, m.made, b.least
-          FROM (SELECT *, lead(tok) OVER (PARTITION BY w ORDER BY i) AS following FROM step) s
-          JOIN (SELECT s.w, min(m.made) AS least
-                FROM (SELECT w, tok, lead(tok) OVER (PARTITION BY w ORDER BY i) AS following FROM step) s
-                JOIN merges m ON s.tok = m.a AND s.following = m.b GROUP BY s.w) b ON s.w = b.w
-          LEFT JOIN merges m ON s.tok = m.a AND s.following = m.b AND m.made = b.least))))
+          SELECT w, i, tok, n, made, lag(made) OVER word AS before, lead(made) OVER word AS after, row_number() OVER word AS place
+          FROM (
+            SELECT w, i, tok, n, CASE WHEN made < bound THEN made END AS made
+            FROM (
+              SELECT s.w, s.i, s.tok, s.n, m.made, min(m.next_use) OVER (PARTITION BY s.w) AS bound
+              FROM (SELECT *, lead(tok) OVER word AS following FROM step WHERE n < $rounds WINDOW word AS (PARTITION BY w ORDER BY i)) s
+              LEFT JOIN merges m ON s.tok = m.a AND s.following = m.b)
+            WHERE bound IS NOT NULL)
+          WINDOW word AS (PARTITION BY w ORDER BY i))
+        WINDOW word AS (PARTITION BY w ORDER BY i))
+      )
+    WINDOW word AS (PARTITION BY w ORDER BY i))
   WHERE NOT absorbed
 )
-SELECT w, list(tok ORDER BY i) AS ids
+SELECT w, list(tok ORDER BY i) AS ids, any_value(n) AS n
 FROM step SEMI JOIN (SELECT w, max(n) AS n FROM step GROUP BY w) USING (w, n) GROUP BY w
 """
-SHORT_BYTES = 60
-#: Beyond this a single word would make more token-position rows than a worker should hold; it is merged from a heap instead.
-HEAP_BYTES = 16_384
+#: Bytes of words that go to DuckDB at once; a longer word goes alone. Rows of one query, which bound its steps; words that
+#: need more steps go on from where they are.
+CHUNK_BYTES, CHUNK_ROWS = 200_000, 3_000_000
 
 
 def byte_names() -> dict[int, str]:
@@ -99,77 +94,54 @@ class Encoder:
         assert made == sorted(made), "ids must rise with the rank of the merge"
         self.split = regex.compile(PATTERN).findall
         self.known: dict[str, bytes] = {}
-        self.pairs: dict[tuple[int, int], int] | None = None
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         table = pa.table({"a": pa.array([ids[a] for a, _ in merges], pa.int32()), "b": pa.array([ids[b] for _, b in merges], pa.int32()), "made": pa.array(made, pa.int32())})
         self.con.register("merge_rows", table)
-        self.con.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
+        uses = "SELECT part, min(made) AS next_use FROM (SELECT a AS part, made FROM merge_rows UNION ALL SELECT b, made FROM merge_rows) GROUP BY part"
+        self.con.execute(f"CREATE TABLE merges AS SELECT a, b, made, coalesce(next_use, 2147483647)::INT AS next_use FROM merge_rows LEFT JOIN ({uses}) ON part = made")
         self.con.unregister("merge_rows")
 
     def learn(self, words: list[str]) -> None:
         """Find the ids of words, in chunks of bounded size; a very long word is a chunk of its own."""
-        raws = [(w, w.encode("utf-8", "surrogatepass")) for w in words]
-        for w, raw in raws:
-            if len(raw) > HEAP_BYTES:
-                self.known[w] = self._merge_heap(raw)
-        raws = [x for x in raws if len(x[1]) <= HEAP_BYTES]
-        for query, group in ((MERGE_SHORT, [x for x in raws if len(x[1]) <= SHORT_BYTES]), (MERGE_LONG, [x for x in raws if len(x[1]) > SHORT_BYTES])):
-            start, size = 0, 0
-            for i, (_, raw) in enumerate(group):
-                if size and size + len(raw) > 200_000:
-                    self._contract(query, group[start:i])
-                    start, size = i, 0
-                size += len(raw)
-            if group[start:]:
-                self._contract(query, group[start:])
-
-    def _contract(self, query: str, group: list[tuple[str, bytes]]) -> None:
         import numpy as np
 
-        names, raws = zip(*group)
-        lengths = np.fromiter(map(len, raws), np.int32, len(raws))
-        ends = np.cumsum(lengths)
-        flat = np.frombuffer(b"".join(raws), np.uint8)
-        table = pa.table({
-            "w": np.repeat(np.arange(len(raws), dtype=np.int32), lengths),
-            "p": (np.arange(len(flat)) - np.repeat(ends - lengths, lengths)).astype(np.int32),
-            "tok": np.asarray(self.byte_ids, np.int32)[flat],
-        })
-        self.con.register("symbols", table)
-        found = self.con.sql(query).to_arrow_table()
-        self.con.unregister("symbols")
-        values = found.column("ids").combine_chunks()
-        offsets, ids = values.offsets.to_numpy(), values.values.to_numpy()
-        for w, start, end in zip(found.column("w").to_pylist(), offsets[:-1], offsets[1:]):
-            self.known[names[w]] = ids[start:end].tobytes()
-
-    def _merge_heap(self, raw: bytes) -> bytes:
-        """The same contraction for one huge word: least rank, then leftmost, from a heap over a linked list."""
-        import heapq
-
+        table = np.asarray(self.byte_ids, np.int32)
+        group: list[tuple[str, np.ndarray]] = []
+        size = 0
+        for w in sorted(words, key=len):
+            ids = table[np.frombuffer(w.encode("utf-8", "surrogatepass"), np.uint8)]
+            if size and size + len(ids) > CHUNK_BYTES:
+                self._contract(group)
+                group, size = [], 0
+            group.append((w, ids))
+            size += len(ids)
+        if group:
+            self._contract(group)
+
+    def _contract(self, group: list[tuple[str, object]]) -> None:
         import numpy as np
 
-        if self.pairs is None:
-            rows = self.con.sql("SELECT a, b, made FROM merges").fetchall()
-            self.pairs = {(a, b): m for a, b, m in rows}
-        tok = [self.byte_ids[b] for b in raw]
-        after, before = [*range(1, len(tok)), -1], [-1, *range(len(tok) - 1)]
-        heap = [(m, i, tok[i], tok[i + 1]) for i in range(len(tok) - 1) if (m := self.pairs.get((tok[i], tok[i + 1]))) is not None]
-        heapq.heapify(heap)
-        while heap:
-            made, i, a, b = heapq.heappop(heap)
-            j = after[i] if tok[i] == a else -1
-            if j < 0 or tok[j] != b:
-                continue
-            tok[i], tok[j] = made, -1
-            after[i] = after[j]
-            if after[i] >= 0:
-                before[after[i]] = i
-            for x in (before[i], i):
-                y = after[x] if x >= 0 else -1
-                if y >= 0 and (m := self.pairs.get((tok[x], tok[y]))) is not None:
-                    heapq.heappush(heap, (m, x, tok[x], tok[y]))
-        return np.array([t for t in tok if t >= 0], np.int32).tobytes()
+        while group:
+            names, tokens = zip(*group)
+            lengths = np.fromiter(map(len, tokens), np.int32, len(tokens))
+            flat = np.concatenate(tokens)
+            ends = np.cumsum(lengths)
+            rounds = max(1, CHUNK_ROWS // len(flat))
+            self.con.register("symbols", pa.table({
+                "w": np.repeat(np.arange(len(tokens), dtype=np.int32), lengths),
+                "p": (np.arange(len(flat)) - np.repeat(ends - lengths, lengths)).astype(np.int32),
+                "tok": flat,
+            }))
+            found = self.con.sql(MERGE, params={"rounds": rounds}).to_arrow_table()
+            self.con.unregister("symbols")
+            values = found.column("ids").combine_chunks()
+            offsets, ids = values.offsets.to_numpy(), values.values.to_numpy()
+            group = []
+            for w, n, start, end in zip(found.column("w").to_pylist(), found.column("n").to_pylist(), offsets[:-1], offsets[1:]):
+                if n < rounds:
+                    self.known[names[w]] = ids[start:end].tobytes()
+                else:
+                    group.append((names[w], ids[start:end]))
 
     def words(self, texts: list[str | None]) -> list[list[str]]:
         """The words of each text, all of them known until the next call, which may forget them."""

@@ -7,7 +7,7 @@ after the first repeats whole words of the one before, up to the overlap.
 
 Cases: null, empty and blank texts and texts within the limit have no pieces
 here. A single word beyond an eighth of the limit is cut between characters, as
-it has no boundary. Pieces cover the text: without the repeated characters they
+it has no boundary. A limit that not even single characters keep is an error. Pieces cover the text: without the repeated characters they
 join to exactly the text.
 """
 
@@ -62,7 +62,7 @@ def _units(words: list[str], sizes: list[int], most: int) -> tuple[list[str], li
         run, size, first = "", 0, True
         for c in w:
             b = len(c.encode("utf-8", "surrogatepass"))
-            if size + b > most:
+            if size and size + b > most:
                 units.append(run)
                 counts.append(size)
                 hard.append(not first)
@@ -104,8 +104,11 @@ def split_text(text: str, enc: Encoder, limit: int = LIMIT, overlap: int = OVERL
     while True:
         cuts = _cuts(tokens, strong, pieces, limit)
         found = _pieces(text, units, strong, tokens, chars, parted, cuts, limit, overlap, enc)
-        if found is not None or pieces > len(units):
-            return found or []
+        if found is not None:
+            return found
+        if pieces > len(units):
+            # each unit is a piece of its own then; only a limit below the tokens of one character can get here
+            raise ValueError(f"no pieces of at most {limit} tokens with an overlap of {overlap}")
         pieces += 1
 
 

@@ -2,8 +2,9 @@ import random
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from threadmill.llm import encode, mixing, splitting
+from threadmill.llm import encode, mixing, splitting, topics
 
 pytestmark = pytest.mark.skipif(not Path(encode.VOCABULARY).exists(), reason="no vocabulary files")
 ODD = ["", " ", "<|endoftext|>", "a" * 5000, "ab" * 400, " " * 300, "日本語のテキスト" * 30, "𒍲𒀽𒋊" * 40, "naïvé    x", "it's we'll I'M", "\x00\x1c\x85\r\n\t", "😀👩‍👩‍👧", "x\n\n\ny   z", "12345 ٣٤"]
@@ -116,11 +117,48 @@ def test_mix(spark):
     assert mixing.plan(df, targets.limit(0))[1].collect() == []
 
 
+CELLS = [("a", "en", "x", 100), ("a", "de", "x", 50), ("a", "en", "y", 30), ("b", "en", "x", 60), ("b", "de", "y", 160)]
+
+
+def raked(targets, total=500.0):
+    return mixing.fit([{"source": s, "lang": g, "topic": t, "tokens": n} for s, g, t, n in CELLS], [{"source": s, "weight": w, "max_repeats": m} for s, w, m in targets], total)
+
+
 def test_raking_meets_all_margins_where_it_can():
-    rows = [{"source": s, "lang": g, "topic": t, "tokens": n} for s, g, t, n in [("a", "en", "x", 100), ("a", "de", "x", 50), ("a", "en", "y", 30), ("b", "en", "x", 60), ("b", "de", "y", 160), (None, "en", "x", 100)]]
-    fitted, _ = mixing.fit(rows, [{"source": "a", "weight": 0.3, "max_repeats": 9}, {"source": "b", "weight": 0.7, "max_repeats": 9}])
-    got = {(f["source"], f["lang"], f["topic"]): f["copies"] for f in fitted}
-    tokens = {(r["source"], r["lang"], r["topic"]): r["tokens"] for r in rows}
-    by = lambda k, v: sum(got[c] * tokens[c] for c in got if c[k] == v)
-    assert abs(by(0, "a") - 150) < 1e-6 and abs(by(0, "b") - 350) < 1e-6
-    assert abs(by(1, "en") - 500 * 190 / 400) < 1 and abs(by(2, "x") - 500 * 210 / 400) < 1
+    f = raked([("a", 0.3, 9), ("b", 0.7, 9)])
+    assert f.converged and abs(f.of("a") - 150) < 1e-6 and abs(f.of("b") - 350) < 1e-6
+    assert all(abs(m["fitted_tokens"] - m["goal_tokens"]) < 1e-6 * m["goal_tokens"] for m in f.margins) and len(f.margins) == 6
+    assert {(m["margin"], m["key"]): round(m["goal_tokens"], 6) for m in f.margins}[("lang", "en")] == 237.5
+
+
+def test_full_cells_leave_their_source_short():
+    f = raked([("a", 0.9, 2), ("b", 0.1, 9)])
+    assert f.of("a") == 360 and abs(f.of("b") - 50) < 1e-6
+    # exactly enough is not short; what full cells cannot take goes to others of the source
+    assert abs(raked([("a", 0.72, 2), ("b", 0.1, 9)]).of("a") - 360) < 1e-6
+    g = raked([("a", 0.6, 2), ("b", 0.4, 9)])
+    assert abs(g.of("a") - 300) < 1e-6 and all(w <= 2 * n + 1e-9 for w, n, c in zip(g.weights, g.tokens, g.cells) if c[0] == "a")
+    assert mixing.fit([], [{"source": "a", "weight": 1.0, "max_repeats": 1}], 0.0).of("a") == 0
+
+
+def test_topics_follow_words_and_not_languages(spark):
+    rnd = random.Random(7)
+    fields = {"en": (["the", "and", "with", "from"], ["garden", "seed", "hedge", "compost"], ["loan", "budget", "salary", "rent"]), "de": (["und", "der", "mit", "aus"], ["garten", "samen", "hecke", "kompost"], ["kredit", "konto", "gehalt", "miete"])}
+    rows, want = [], []
+    for i in range(400):
+        lang = rnd.choice(["en", "de"])
+        of = rnd.randint(1, 2)
+        rows.append((i, " ".join(rnd.choice(fields[lang][0]) + " " + rnd.choice(fields[lang][of]) for _ in range(30)), lang))
+        want.append((lang, of))
+    df = spark.createDataFrame([*rows, (900, None, "en"), (901, "", "en")], "doc_id long, text string, lang string")
+    model = topics.fit_topics(df, F.col("lang"), 300, 4)
+    found = {}
+    for (_, text, lang), key in zip(rows, want):
+        found.setdefault(key, []).append(model.topic([" " + w for w in text.split()], lang))
+    purest = {k: max(set(v), key=v.count) for k, v in found.items()}
+    assert all(v.count(purest[k]) > 0.9 * len(v) for k, v in found.items())
+    assert purest[("en", 1)] != purest[("en", 2)] and purest[("de", 1)] != purest[("de", 2)]
+    assert model.topic([" unheard", " of"], "en") == "other"
+    again = topics.fit_topics(df.repartition(3), F.col("lang"), 300, 4)
+    assert all((again.weights[w] == model.weights[w]).all() for w in model.weights)
+    assert topics.fit_topics(df.limit(0), F.col("lang")).topic([" garden"], "en") == "other"

@@ -63,9 +63,15 @@ def p9_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The sources whose fitted weight stays below their target."""
     return p9_report(spark, folder).where("short").select("source")
 
 
+def p9_margins(spark: SparkSession, folder: str) -> DataFrame:
+    """Goal and fit of every source, language and topic of the mix, with the rounds of raking and whether it converged."""
+    return mixing.plan(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[2]
+
+
 def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     """The actual shares of the drawn mix, every target listed."""
     targets = table(spark, folder, "mix_targets")
@@ -81,7 +87,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return p10_pieces(spark, folder).where("piece_no = 1").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_shares, p4_cleaned, p5_found, p5_ranking, p6_found, p6_turns, p8_ids, p9_found, p9_report, p9_shares, p10_found, p10_pieces)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_shares, p4_cleaned, p5_found, p5_ranking, p6_found, p6_turns, p8_ids, p9_found, p9_report, p9_margins, p9_shares, p10_found, p10_pieces)}
 
 _RANKED = """
 WITH newest AS (

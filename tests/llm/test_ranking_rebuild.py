@@ -142,3 +142,23 @@ def test_rows_without_identifier_get_their_component(spark):
     rows = [msg(1, None, "a", None, 0), msg(2, "", "b", "a", 1), msg(3, "known", "k", None, 0), msg(4, None, "m", "k", 1), msg(5, None, "z", None, 0)]
     got = {r["node_id"]: r["conversation_id"] for r in rebuild.identify(spark.createDataFrame(rows, MESSAGES)).collect()}
     assert got == {"a": "a", "b": "a", "k": "known", "m": "known", "z": "z"}
+
+
+def test_long_ways_need_many_rounds_and_get_them(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(700)], "u long, v long")
+    assert {r["component"] for r in rebuild.components(path).collect()} == {0}
+
+
+def test_identified_by_replies_and_quotations(spark):
+    long = "a passage that is quoted word for word by another message, and long enough to count as a quotation. " * 3
+    rows = [msg(1, "x", "a", None, 0, text=long), msg(2, "x", "b", "a", 1), msg(3, "y", "c", None, 0), msg(4, "y", "d", "c", 1, text=long), msg(5, "y", "e", "gone", 2), msg(6, "z", "f", None, 0, text="short"), msg(7, "z", "g", None, 1, text="short"), msg(8, "z", None, "a", 2)]
+    got = {r["node_id"]: r["conversation"] for r in rebuild.identified(spark.createDataFrame(rows, MESSAGES)).collect()}
+    assert got == {"a": "a", "b": "a", "c": "a", "d": "a", "e": "e", "f": "f", "g": "g"}
+    assert rebuild.identified(spark.createDataFrame([], MESSAGES)).collect() == []
+
+
+def test_quote_links_join_rows_without_identifier(spark):
+    rows = [(*msg(1, "known", "k", None, 0), None), (*msg(2, None, "m", None, 1), "k"), (*msg(3, None, "n", "m", 2), None), (*msg(4, None, "o", None, 3), None)]
+    df = spark.createDataFrame(rows, MESSAGES + ", quoted string")
+    got = {r["node_id"]: r["conversation_id"] for r in rebuild.identify(df, quotes="quoted").collect()}
+    assert got == {"k": "known", "m": "known", "n": "known", "o": "o"}

@@ -53,6 +53,14 @@ def p6_turns(spark: SparkSession, folder: str) -> DataFrame:
     return rebuild.Rebuilt(table(spark, folder, "messages"), table(spark, folder, "conv_heads")).turns()
 
 
+def p6_identified(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message row with the conversation that reply and quote links alone give it, as if none had an identifier.
+
+    A quote link leads to the first message (least node_id) that holds a long part word for word.
+    """
+    return rebuild.identified(table(spark, folder, "messages"))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode.encode(table(spark, folder, "documents"))
 
@@ -87,7 +95,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return p10_pieces(spark, folder).where("piece_no = 1").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_shares, p4_cleaned, p5_found, p5_ranking, p6_found, p6_turns, p8_ids, p9_found, p9_report, p9_margins, p9_shares, p10_found, p10_pieces)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_shares, p4_cleaned, p5_found, p5_ranking, p6_found, p6_turns, p6_identified, p8_ids, p9_found, p9_report, p9_margins, p9_shares, p10_found, p10_pieces)}
 
 _RANKED = """
 WITH newest AS (
@@ -147,9 +155,46 @@ often AS (SELECT g FROM gram GROUP BY g HAVING count(*) > 1),
 kept AS (SELECT msg_id, g FROM gram SEMI JOIN often USING (g))
 SELECT DISTINCT a.msg_id AS msg_a, b.msg_id AS msg_b FROM kept a JOIN kept b ON a.g = b.g AND a.msg_id < b.msg_id"""
 
+_IDENTIFIED = r"""
+WITH RECURSIVE
+rw AS (SELECT DISTINCT node_id, parent, parts FROM messages WHERE node_id IS NOT NULL),
+part AS (SELECT node_id, CASE WHEN regexp_matches(p, '^\s*\{') AND json_valid(p) THEN coalesce(json_extract_string(p, '$.text'), '') ELSE p END AS t FROM (SELECT node_id, unnest(parts) AS p FROM rw)),
+quote AS (SELECT node_id, min(node_id) OVER (PARTITION BY t) AS first FROM part WHERE length(t) >= 240),
+link AS (SELECT node_id AS u, parent AS v FROM rw WHERE parent IS NOT NULL UNION SELECT node_id, first FROM quote),
+edge AS (SELECT u, v FROM link WHERE u <> v UNION SELECT v, u FROM link WHERE u <> v),
+cc(node, label) USING KEY (node) AS (
+  SELECT node, min(node) AS label FROM (SELECT DISTINCT node_id AS node FROM rw UNION SELECT v FROM link) GROUP BY node
+  UNION
+  SELECT b.u, min(c.label) FROM cc c JOIN edge b ON b.v = c.node JOIN recurring.cc r ON r.node = b.u WHERE c.label < r.label GROUP BY b.u)
+SELECT r.node_id, c.label AS conversation FROM (SELECT DISTINCT node_id FROM rw) r JOIN cc c ON c.node = r.node_id"""
+
+_TURNS6 = _DROPPED[:_DROPPED.rindex("SELECT conversation_id, reason FROM verdict")] + r"""
+SELECT conversation_id, (row_number() OVER (PARTITION BY conversation_id ORDER BY far DESC) - 1)::BIGINT AS turn_no, node_id, role, text FROM (
+  SELECT p.conversation_id, p.far, n.node_id, n.role, array_to_string(list_filter(list_transform(m.parts, lambda p:
+      CASE WHEN regexp_matches(p, '^\s*\{') AND json_valid(p) THEN coalesce(json_extract_string(p, '$.text'), '') ELSE p END), lambda t: regexp_matches(t, '\S')), chr(10)) AS text
+  FROM path p JOIN node n USING (conversation_id, node_id) JOIN verdict v ON v.conversation_id = p.conversation_id AND v.reason IS NULL
+  JOIN (SELECT * FROM messages QUALIFY row_number() OVER (PARTITION BY conversation_id, node_id ORDER BY ingested_at DESC) = 1) m ON m.conversation_id = p.conversation_id AND m.node_id = p.node_id
+  WHERE n.turn)"""
+
+_SHARES = _SHARED[:_SHARED.index("often AS")].replace("gram AS (SELECT DISTINCT msg_id, t[i:i + 239] AS g FROM", "gram AS (SELECT msg_id, t, i, t[i:i + 239] AS g FROM") + r"""
+often AS (SELECT g FROM gram GROUP BY g HAVING count(DISTINCT msg_id) > 1),
+place AS (SELECT DISTINCT msg_id, t, i FROM gram SEMI JOIN often USING (g)),
+cover AS (SELECT msg_id, t, sum(least(240, coalesce(following - i, 240))) AS n FROM (SELECT *, lead(i) OVER (PARTITION BY msg_id, t ORDER BY i) AS following FROM place) GROUP BY 1, 2),
+piece AS (SELECT DISTINCT msg_id, k, CASE WHEN regexp_matches(p, '^\s*\{') AND json_valid(p) THEN coalesce(json_extract_string(p, '$.text'), '') ELSE coalesce(p, '') END AS t
+  FROM (SELECT msg_id, k, parts[k] AS p FROM (SELECT msg_id, parts, unnest(range(1, len(parts) + 1)) AS k FROM messages))),
+total AS (SELECT m.msg_id, coalesce(sum(length(p.t)), 0)::BIGINT AS chars, coalesce(sum(c.n), 0)::BIGINT AS shared_chars
+  FROM (SELECT DISTINCT msg_id FROM messages) m LEFT JOIN piece p USING (msg_id) LEFT JOIN cover c ON c.msg_id = p.msg_id AND c.t = p.t GROUP BY 1),
+home AS (SELECT msg_id, min(conversation_id) AS conversation_id FROM messages GROUP BY 1),
+echo AS (SELECT conversation_id, max(echoed_words) AS echoed_words FROM conv_index GROUP BY 1)
+SELECT t.msg_id, chars, shared_chars, CASE WHEN chars > 0 THEN shared_chars::DOUBLE / chars ELSE 0.0 END AS share, h.conversation_id, e.echoed_words
+FROM total t LEFT JOIN home h USING (msg_id) LEFT JOIN echo e USING (conversation_id)"""
+
 SQL = {
     "p4_found": _SHARED,
     "p5_ranking": _RANKED,
     "p5_found": f"SELECT rec_key FROM ({_RANKED}) ORDER BY median_rank, mean_rank, rec_key LIMIT 10",
     "p6_found": _DROPPED,
+    "p6_turns": _TURNS6,
+    "p6_identified": _IDENTIFIED,
+    "p4_shares": _SHARES,
 }

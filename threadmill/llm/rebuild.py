@@ -44,17 +44,17 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return r["n"], r["h"]
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component): component is the least node of it. edges has u and v of one type.
 
     Alternates large-star (each node's larger neighbours to its least neighbour)
     and small-star (its smaller neighbours and itself to the least) until the
-    edges stay the same, and raises if ``most_rounds`` do not suffice for that.
-    Minima are combined before the shuffle.
+    edges stay the same, however many rounds that takes. Minima are combined
+    before the shuffle.
     """
     now = cut(edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = _fingerprint(now)
-    for _ in range(most_rounds if mark[0] else 0):
+    while mark[0]:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -65,9 +65,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if after == mark:
             break
         mark = after
-    else:
-        if mark[0]:
-            raise RuntimeError(f"components still change after {most_rounds} rounds")
     return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
@@ -87,6 +84,27 @@ def identify(messages: DataFrame, quotes: str | None = None) -> DataFrame:
     return messages.where(known).unionByName(named)
 
 
+#: A part of this many characters that stands in another message too is a quotation of it.
+QUOTED = 240
+
+
+def quote_links(messages: DataFrame, least: int = QUOTED) -> DataFrame:
+    """(u, v): nodes and the first one (least node_id) that holds one of their long parts word for word."""
+    text = messages.where("node_id is not null").select("node_id", F.explode("parts").alias("part")).select("node_id", part_text_column(F.col("part")).alias("text")).where(F.length("text") >= least)
+    held = text.select("node_id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit("2"), "text").alias("h2")).distinct()
+    # the minimum is combined before the shuffle, so a part that many messages hold is one row a task
+    first = held.groupBy("h", "h2").agg(F.min("node_id").alias("v"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return held.join(first, ["h", "h2"]).where("node_id <> v").select(F.col("node_id").alias("u"), "v")
+
+
+def identified(messages: DataFrame) -> DataFrame:
+    """(node_id, conversation): the component of every node over reply and quote links, whatever identifiers the rows have."""
+    rows = messages.where("node_id is not null")
+    links = rows.select(F.col("node_id").alias("u"), F.col("parent").alias("v")).union(quote_links(messages))
+    found = components(links)
+    return rows.select("node_id").distinct().join(found, F.col("node_id") == F.col("node"), "left").select("node_id", F.coalesce("component", "node_id").alias("conversation"))
+
+
 # -- contraction inside blocks -------------------------------------------------
 
 LOCAL = pa.schema([("conversation_id", pa.string()), ("block", pa.int64()), ("node_id", pa.string()), ("node_pos", pa.int32()), ("parent", pa.string()), ("turn", pa.string()), ("kind", pa.string()), ("top", pa.string()), ("exit_to", pa.string()), ("hops", pa.int32()), ("last_turn", pa.string()), ("unnamed", pa.bool_())])
@@ -177,8 +195,11 @@ class Rebuilt:
         # where ways out of blocks lead: nothing, if the parent is no row
         self.entries = cut(self.exits.join(entry, ["conversation_id", "exit_to"]))
         self.edges = tops.join(self.entries.select("conversation_id", "exit_to", "to_top"), ["conversation_id", "exit_to"])
-        self.starts = self._starts()
+        self.starts = cut(self._starts())
         self.rooted = cut(self._rooted())
+        # starts whose way ends at a root
+        self.whole = self.starts.join(self.rooted, ["conversation_id", "top"], "left_semi")
+        self.steps: DataFrame | None = None
 
     def _starts(self) -> DataFrame:
         local = self.local.select("conversation_id", "node_id", "node_pos", "block", "kind", "top", "exit_to", "hops", "last_turn", "unnamed")
@@ -200,17 +221,22 @@ class Rebuilt:
         return reached.select(split[0].alias("conversation_id"), split[1].alias("top")).unionByName(roots.select("conversation_id", "top")).distinct()
 
     def _jumps(self) -> DataFrame:
-        """Steps between blocks on ways that end at a root, so every chain of them ends."""
+        """Steps between blocks on ways that end at a root, so every chain of them ends. Found once."""
+        if self.steps is None:
+            self.steps = cut(self._found_jumps())
+        return self.steps
+
+    def _found_jumps(self) -> DataFrame:
         ending = self.entries.join(self.rooted.withColumnRenamed("top", "to_top"), ["conversation_id", "to_top"], "left_semi")
         return ending.select("conversation_id", F.col("exit_to").alias("entry"), "next", "last_turn", (F.col("hops") + 1).cast("long").alias("far"))
 
     def last_turns(self) -> DataFrame:
         """(conversation_id, last_turn): the nearest turn at or above the start, across blocks by pointer doubling."""
-        whole = self.starts.join(self.rooted, ["conversation_id", "top"], "left_semi")
+        whole = self.whole
         done = whole.where("last_turn is not null or kind <> 'exit'").select("conversation_id", "last_turn")
         open_ = whole.where("last_turn is null and kind = 'exit'").select("conversation_id", F.col("exit_to").alias("entry"))
         jumps = self._jumps().drop("far")
-        for _ in range(40):
+        while True:  # ways that end at a root are finite, and each round doubles what is jumped
             open_ = cut(open_)
             if open_.isEmpty():
                 break
@@ -231,14 +257,12 @@ class Rebuilt:
 
     def path_entries(self) -> DataFrame:
         """(conversation_id, entry, base): the rows by which the path enters its blocks, with their distance from the start."""
-        whole = self.starts.join(self.rooted, ["conversation_id", "top"], "left_semi")
+        whole = self.whole
         marks = whole.select("conversation_id", F.col("node_id").alias("entry"), F.lit(0).cast("long").alias("base"))
         own = whole.where("kind = 'exit'").select("conversation_id", F.col("node_id").alias("entry"), F.col("exit_to").alias("next"), (F.col("hops") + 1).cast("long").alias("far"))
         # a start may be an entry too: one row each
         jumps = cut(self._jumps().select("conversation_id", "entry", "next", "far").where("next is not null").unionByName(own).distinct())
-        for _ in range(40):
-            if jumps.isEmpty():
-                break
+        while not jumps.isEmpty():
             new = marks.join(jumps, ["conversation_id", "entry"]).select("conversation_id", F.col("next").alias("entry"), (F.col("base") + F.col("far")).alias("base"))
             marks = cut(marks.unionByName(new).groupBy("conversation_id", "entry").agg(F.min("base").alias("base")))
             ahead = jumps.select("conversation_id", F.col("entry").alias("next"), F.col("next").alias("next2"), F.col("far").alias("far2"))

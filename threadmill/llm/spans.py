@@ -198,7 +198,8 @@ class Shared:
     def __init__(self, messages: DataFrame):
         self.messages = messages
         text = messages.select(F.col("msg_id").cast("long"), F.explode("parts").alias("part")).select("msg_id", part_text_column(F.col("part")).alias("text")).where(F.length("text") >= LEAST)
-        self.parts = text.select("msg_id", F.xxhash64("text").alias("tid"), F.xxhash64(F.lit("2"), "text").alias("t2"), "text")
+        # parts are read and parsed once; everything below reads this table, most of it only its numbers
+        self.parts = stored(text.select("msg_id", F.xxhash64("text").alias("tid"), F.xxhash64(F.lit("2"), "text").alias("t2"), "text"))
         self.members = self.parts.select("msg_id", "tid", "t2").distinct()
 
     def _texts(self, marks: DataFrame) -> DataFrame:
@@ -226,9 +227,10 @@ class Shared:
         often = windows.groupBy("g1", "g2").agg(F.min("tid").alias("a"), F.max("tid").alias("b")).where("a <> b").select("g1", "g2")
         return windows.join(often, ["g1", "g2"], "left_semi")
 
-    def pairs(self) -> DataFrame:
-        """(msg_a, msg_b) of different messages that share a span.
+    def classes(self) -> DataFrame:
+        """(tid_a, t2_a, tid_b, t2_b): pairs of different texts that share a span, once each. ``members`` says which messages hold a text.
 
+        This is the form for libraries: copies of a text are not expanded into pairs.
         Windows that stand in the very same set of texts give the same pairs, so
         one of them stands for all; neighbouring windows of one passage nearly
         always do. What is joined then is close to what comes out.
@@ -240,7 +242,11 @@ class Shared:
         a = groups.select("g1", "g2", F.col("tid").alias("tid_a"), F.col("t2").alias("t2_a"))
         b = groups.select("g1", "g2", F.col("tid").alias("tid_b"), F.col("t2").alias("t2_b"))
         ordered = (F.col("tid_a") < F.col("tid_b")) | ((F.col("tid_a") == F.col("tid_b")) & (F.col("t2_a") < F.col("t2_b")))
-        classes = a.join(b, ["g1", "g2"]).where(ordered).select("tid_a", "t2_a", "tid_b", "t2_b").distinct()
+        return a.join(b, ["g1", "g2"]).where(ordered).select("tid_a", "t2_a", "tid_b", "t2_b").distinct()
+
+    def pairs(self) -> DataFrame:
+        """(msg_a, msg_b) of different messages that share a span, all of them, copies too, as the result's form asks for it."""
+        classes = self.classes()
         ma = self.members.select(F.col("msg_id").alias("x"), F.col("tid").alias("tid_a"), F.col("t2").alias("t2_a"))
         mb = self.members.select(F.col("msg_id").alias("y"), F.col("tid").alias("tid_b"), F.col("t2").alias("t2_b"))
         across = classes.join(ma, ["tid_a", "t2_a"]).join(mb, ["tid_b", "t2_b"]).select("x", "y")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadmill.llm import encode, mixing, pii, ranking, rebuild, spans, splitting
+from threadmill.llm import encode, mixing, pii, ranking, rebuild, spans, splitting, sql
 from threadmill.session import table
 
 
@@ -190,6 +190,9 @@ SELECT t.msg_id, chars, shared_chars, CASE WHEN chars > 0 THEN shared_chars::DOU
 FROM total t LEFT JOIN home h USING (msg_id) LEFT JOIN echo e USING (conversation_id)"""
 
 SQL = {
+    "p8_ids": sql.ids(),
+    "p9_found": sql.short_sources(),
+    "p10_found": sql.oversized(),
     "p4_found": _SHARED,
     "p5_ranking": _RANKED,
     "p5_found": f"SELECT rec_key FROM ({_RANKED}) ORDER BY median_rank, mean_rank, rec_key LIMIT 10",

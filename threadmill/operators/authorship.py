@@ -17,7 +17,8 @@ def labelled(turns: DataFrame, cfg: Config | None = None) -> DataFrame:
     """User turns with folded prose, word counts and label. turns: conv_no, pos, role, text, ts. No shuffle."""
     rows = turns.where("role = 'user'").withColumn("prose", X.prose(F.col("text")))
     rows = rows.withColumn("folded", X.fold(F.col("prose"))).withColumn("n_all", X.words(X.fold(F.col("text")))).withColumn("n_prose", X.words(F.col("folded")))
-    return rows.withColumn("label", turn_label(F.col("folded"), F.col("n_prose"), cfg))
+    # the label comes out of a generator, as no condition on it is then pushed below, where texts would be folded and counted anew for every use
+    return rows.select("*", F.explode(F.array(turn_label(F.col("folded"), F.col("n_prose"), cfg))).alias("label"))
 
 
 def with_before(turns: DataFrame, stretch: int = STRETCH) -> DataFrame:
@@ -83,8 +84,9 @@ def credited(turns: DataFrame, cfg: Config | None = None) -> DataFrame:
 
 def term_bags(rows: DataFrame, cap: int = P.TERM_CAP) -> DataFrame:
     """(conv_no, terms): the most frequent content words of the owner's turns, by count, then word."""
-    word = F.regexp_replace("w", "^['-]+|['-]+$", "")
-    w = rows.where(F.col("label").isin(*MINE)).select("conv_no", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(P.TERM), 0)).alias("w")).select("conv_no", word.alias("word"))
+    word = F.rtrim("w", F.lit("'-"))  # a term begins with a letter
+    # outer, so that no filter on the found words is inferred, for which they would be found twice
+    w = rows.where(F.col("label").isin(*MINE)).select("conv_no", F.explode_outer(F.regexp_extract_all(F.lower("text"), F.lit(P.TERM), 0)).alias("w")).where("w is not null").select("conv_no", word.alias("word"))
     counts = w.where((F.length("word") >= 3) & ~F.col("word").isin(*P.STOP_WORDS)).groupBy("conv_no", "word").agg(F.count("*").alias("n"))
     place = F.row_number().over(Window.partitionBy("conv_no").orderBy(F.desc("n"), "word"))
     top = counts.withColumn("place", place).where(F.col("place") <= cap)

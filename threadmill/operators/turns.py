@@ -60,7 +60,9 @@ def linearized(conversations: DataFrame) -> DataFrame:
     m = F.col("message")
     role = F.lower(m["author"]["role"])
     kept = on_path.where(m.isNotNull() & ~is_hidden(m) & role.isin("user", "assistant") & m["content"]["content_type"].isin(*P.TEXT_TYPES))
-    return kept.select("conv_no", "conversation_id", "title", "create_time", "pos", role.alias("role"), X.message_text(m["content"]["parts"]).alias("text"), F.nullif(m["create_time"], F.lit(0.0)).alias("ts")).where("text <> ''")
+    # out of a generator, so that the condition on the text isn't pushed below, where the parts would be read a second time
+    text = F.explode(F.array(X.message_text(m["content"]["parts"])))
+    return kept.select("conv_no", "conversation_id", "title", "create_time", "pos", role.alias("role"), text.alias("text"), F.nullif(m["create_time"], F.lit(0.0)).alias("ts")).where("text <> ''")
 
 
 def from_documents(documents: DataFrame) -> DataFrame:

@@ -176,7 +176,7 @@ def _message_turns(spark: SparkSession, folder: str) -> DataFrame:
     last = F.max(F.struct("ingested_at", "msg_id", "role", "content_type", "parts", "hidden", "create_time", "node_pos")).alias("m")
     once = m.groupBy("conversation_id", "node_id").agg(last).select("conversation_id", "m.*")
     kept = once.where(F.lower("role").isin("user", "assistant") & F.col("content_type").isin(*P.TEXT_TYPES) & ~F.coalesce("hidden", F.lit(False)))
-    return kept.select(F.xxhash64("conversation_id").alias("conv_no"), "conversation_id", F.col("node_pos").cast("int").alias("pos"), F.lower("role").alias("role"), X.message_text(F.col("parts")).alias("text"), F.nullif("create_time", F.lit(0.0)).alias("ts")).where("text <> ''").dropDuplicates(["conv_no", "pos"])
+    return kept.select(F.xxhash64("conversation_id").alias("conv_no"), "conversation_id", F.col("node_pos").cast("int").alias("pos"), F.lower("role").alias("role"), F.explode(F.array(X.message_text(F.col("parts")))).alias("text"), F.nullif("create_time", F.lit(0.0)).alias("ts")).where("text <> ''").dropDuplicates(["conv_no", "pos"])
 
 
 def message_echoes(spark: SparkSession, folder: str) -> DataFrame:

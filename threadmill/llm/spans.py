@@ -197,7 +197,8 @@ class Shared:
 
     def __init__(self, messages: DataFrame):
         self.messages = messages
-        text = messages.select(F.col("msg_id").cast("long"), F.explode("parts").alias("part")).select("msg_id", part_text_column(F.col("part")).alias("text")).where(F.length("text") >= LEAST)
+        # texts come out of a generator, so that the condition on them isn't pushed below, where parts would be parsed a second time
+        text = messages.select(F.col("msg_id").cast("long"), F.explode_outer(F.transform("parts", part_text_column)).alias("text")).where(F.length("text") >= LEAST)
         # parts are read and parsed once; everything below reads this table, most of it only its numbers
         self.parts = stored(text.select("msg_id", F.xxhash64("text").alias("tid"), F.xxhash64(F.lit("2"), "text").alias("t2"), "text"))
         self.members = self.parts.select("msg_id", "tid", "t2").distinct()

@@ -6,16 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadmill.llm import encode, mixing, pii, ranking, rebuild, spans, splitting, sql
-from threadmill.session import table
+from threadmill.session import spread, table
+
+
+def _spread(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """The columns of a table; its rows are spread over all cores if its files are too few for them."""
+    return spread(table(spark, folder, name).select(*columns))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return pii.found(table(spark, folder, "messages"))
+    return pii.found(_spread(spark, folder, "messages", "msg_id", "parts"))
 
 
 def p2_redacted(spark: SparkSession, folder: str) -> DataFrame:
     """Every message's parts with typed placeholders."""
-    return pii.redacted(table(spark, folder, "messages"))
+    return pii.redacted(_spread(spark, folder, "messages", "msg_id", "parts"))
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,7 +67,7 @@ def p6_identified(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return encode.encode(table(spark, folder, "documents"))
+    return encode.encode(_spread(spark, folder, "documents", "doc_id", "text"))
 
 
 def p9_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,7 +92,7 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p10_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    return splitting.split(table(spark, folder, "documents"))
+    return splitting.split(_spread(spark, folder, "documents", "doc_id", "text"))
 
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -48,6 +48,10 @@ def test_exports(spark, tmp_path):
     (bad / "conversations-000.json").write_text(json.dumps({"a": 1}))
     with pytest.raises(Exception, match="expected a list"):
         exports.read(spark, str(bad)).collect()
+    # only shards are guarded; of a single file the format check says what is wrong
+    with zipfile.ZipFile(tmp_path / "odd.zip", "w") as f:
+        f.writestr("conversations.json", json.dumps({"a": 1}))
+    assert profile.verdict(exports.read(spark, str(tmp_path / "odd.zip"))).first()["error"] != ""
     with pytest.raises(FileNotFoundError):
         exports.read(spark, str(tmp_path))
     said = turns.linearized(exports.read(spark, str(single))).orderBy("conv_no", "pos").collect()
@@ -89,6 +93,8 @@ def test_parse_rank_and_read_back(spark, tmp_path):
     (tmp_path / "w/chunks/chunk-99.md").write_text("of an earlier packing")
     assert cli.main(["voice", str(src), "--out", str(tmp_path / "w")]) == 0
     assert not (tmp_path / "w/chunks/chunk-99.md").exists()
+    years = spark.read.text(str(tmp_path / "w/years"))
+    assert [r["year"] for r in years.select("year").distinct().collect()] == [2023] and years.where("value like '## %'").count() == 2
     assert (tmp_path / "w/chunks/chunk-01.md").read_text().startswith("# Your turns - chunk 1")
     idx = spark.createDataFrame([("2023-11-14-first-thing.md", None), ("nope.md", "k")], "file string, conversation_id string")
     assert {r["conversation_id"] for r in markdown.backfill_ids(idx, files).collect()} == {"a", "k"}

@@ -60,3 +60,9 @@ def test_part_text(spark):
 def test_rounding_to_even(spark):
     df = spark.createDataFrame([(9, 4), (1, 8), (5, 0), (27, 4)], "a int, b int").select(X.rounded(F.col("a"), F.col("b"), 1).alias("r"))
     assert [r["r"] for r in df.collect()] == [2.2, 0.1, 0.0, 6.8]
+
+
+def test_links(spark):
+    df = spark.createDataFrame([("2024-01-01-a", "One | two")], "s string, t string")
+    got = df.select(X.link(F.col("s"), F.col("t")).alias("w"), X.link(F.col("s"), F.col("t"), "c/", "markdown").alias("m")).first()
+    assert got["w"] == "[[2024-01-01-a\\|One \\| two]]" and got["m"] == "[One \\| two](c/2024-01-01-a.md)"

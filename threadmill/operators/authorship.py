@@ -180,4 +180,5 @@ def near_floor(rows: DataFrame, samples: int = 3, seed: int = 0) -> DataFrame:
     """A few long turns whose score is near the floor, chosen by a hash of their key: the same on every run."""
     score = X.voice_score(F.col("folded"), F.col("n_prose"))
     near = rows.where((F.col("n_prose") >= P.LONG_TURN_WORDS) & (F.col("label") != "own_voice")).withColumn("score", score).where(F.abs(F.col("score") - P.AUTHORED_FLOOR) < 6)
-    return near.orderBy(F.xxhash64(F.lit(seed), "conv_no", "pos"), "conv_no", "pos").limit(samples).select("conv_no", "pos", "label", "score")
+    chance = F.md5(F.concat_ws("-", F.lit(seed), F.col("conv_no").cast("string"), F.col("pos").cast("string")))
+    return near.orderBy(chance, "conv_no", "pos").limit(samples).select("conv_no", "pos", "label", "score")

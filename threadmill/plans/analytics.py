@@ -63,7 +63,7 @@ def voice_histogram(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def voice_near_floor(spark: SparkSession, folder: str) -> DataFrame:
-    return A.near_floor(_documents(spark, folder), samples=10)
+    return A.near_floor(_documents(spark, folder), samples=10).withColumn("score", F.round("score", 4))
 
 
 def echo_shares(spark: SparkSession, folder: str) -> DataFrame:
@@ -433,6 +433,8 @@ b AS (SELECT label, sum(t)::BIGINT AS turns, sum(w)::BIGINT AS words FROM x GROU
 SELECT label, turns, words, round(coalesce(words::DOUBLE / nullif(sum(words) OVER (), 0), 0), 6) AS share FROM b WHERE turns > 0 OR words > 0""",
     "voice_histogram": f"""{_DOCS}, b AS (SELECT (floor({S.voice('f', 'n_prose')} / 4) * 4)::BIGINT AS bucket FROM labelled WHERE n_prose >= {P.LONG_TURN_WORDS})
 SELECT bucket, count(*) AS turns, bucket <= {P.AUTHORED_FLOOR} AND bucket + 4 > {P.AUTHORED_FLOOR} AS at_floor FROM b GROUP BY 1""",
+    "voice_near_floor": f"""{_DOCS}, s AS (SELECT conv_no, label, {S.voice('f', 'n_prose')} AS score FROM labelled WHERE n_prose >= {P.LONG_TURN_WORDS} AND label <> 'own_voice')
+SELECT conv_no, 0::INTEGER AS pos, label, round(score, 4) AS score FROM s WHERE abs(score - {P.AUTHORED_FLOOR}) < 6 ORDER BY md5('0-' || conv_no || '-0'), conv_no LIMIT 10""",
     "echo_shares": f"{_C} SELECT conv_no, pos, round(echo_share, 6) AS echo_share, echoed FROM credited WHERE echo_share > 0",
     "normalised_documents": f"SELECT doc_id, md5({S.norm('text')}) AS norm_md5 FROM documents WHERE text IS NOT NULL",
     "document_terms": f"{_DOCS}, {S.term_bags('labelled')} SELECT conv_no AS doc_id, array_to_string(terms, ' ') AS terms FROM bags",

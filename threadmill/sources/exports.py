@@ -41,11 +41,11 @@ def _last_wins(mapping: Column) -> Column:
     return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.map_from_entries(once)).otherwise(mapping)
 
 
-def _shape(texts: DataFrame, guarded: bool) -> DataFrame:
-    """(source, value) of whole files to conversations; a guarded file that is no list is an error."""
+def _shape(texts: DataFrame) -> DataFrame:
+    """(source, value) of whole files to conversations; a shard that is no list is an error, of a single file the format check says so."""
     kind = F.schema_of_variant(F.try_parse_json("value"))
-    is_list = F.coalesce(kind.startswith("ARRAY"), F.lit(False))
-    checked = texts.withColumn("value", F.when(is_list, F.col("value")).otherwise(F.raise_error(F.concat(F.col("source"), F.lit(": expected a list of conversations"))))) if guarded else texts
+    is_list = F.coalesce(kind.startswith("ARRAY"), F.lit(False)) | ~F.col("source").rlike(SHARD.pattern)
+    checked = texts.withColumn("value", F.when(is_list, F.col("value")).otherwise(F.raise_error(F.concat(F.col("source"), F.lit(": expected a list of conversations")))))
     listed = checked.select("source", F.posexplode(F.from_json("value", f"array<{CONVERSATION}>")).alias("at", "c"))
     return listed.select("source", "at", "c.*").withColumn("mapping", _last_wins(F.col("mapping")))
 
@@ -75,12 +75,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(path)
     if path.endswith(".zip"):
         texts = spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(_unzip, "source string, value string")
-        rows = _shape(texts, True)
+        rows = _shape(texts)
     elif path.endswith(".json"):
-        rows = _shape(spark.read.text(path, wholetext=True).select(F.lit(path).alias("source"), "value"), False)
+        rows = _shape(spark.read.text(path, wholetext=True).select(F.lit("").alias("source"), "value"))
     else:
         paths = _shard_paths(spark, path)
-        rows = _shape(spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("source"), "value"), True)
+        rows = _shape(spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("source"), "value"))
     number = F.coalesce(F.regexp_extract("source", r"(\d+)\.json$", 1).try_cast("long"), F.lit(0))
     return rows.withColumn("conv_no", number * F.lit(1 << 32) + F.col("at")).withColumn("exported_at", F.current_timestamp()).drop("source", "at")
 

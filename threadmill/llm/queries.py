@@ -70,6 +70,11 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode.encode(_spread(spark, folder, "documents", "doc_id", "text"))
 
 
+def p8_digest(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of p8_ids as a count and a digest, to be compared where lists can't."""
+    return p8_ids(spark, folder).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.md5(F.array_join("ids", " ")).alias("ids_md5"))
+
+
 def p9_report(spark: SparkSession, folder: str) -> DataFrame:
     """Each source's target, capacity and planned tokens in the mix of p9_shares, and what all its documents hold."""
     return mixing.plan(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[1]
@@ -100,7 +105,7 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     return p10_pieces(spark, folder).where("piece_no = 1").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_shares, p4_cleaned, p5_found, p5_ranking, p6_found, p6_turns, p6_identified, p8_ids, p9_found, p9_report, p9_margins, p9_shares, p10_found, p10_pieces)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_redacted, p4_found, p4_shares, p4_cleaned, p5_found, p5_ranking, p6_found, p6_turns, p6_identified, p8_ids, p8_digest, p9_found, p9_report, p9_margins, p9_shares, p10_found, p10_pieces)}
 
 _RANKED = """
 WITH newest AS (
@@ -195,7 +200,7 @@ SELECT t.msg_id, chars, shared_chars, CASE WHEN chars > 0 THEN shared_chars::DOU
 FROM total t LEFT JOIN home h USING (msg_id) LEFT JOIN echo e USING (conversation_id)"""
 
 SQL = {
-    "p8_ids": sql.ids(),
+    "p8_digest": f"SELECT doc_id, len(ids)::BIGINT AS n_tokens, md5(array_to_string(ids, ' ')) AS ids_md5 FROM ({sql.ids()})",
     "p9_found": sql.short_sources(),
     "p10_found": sql.oversized(),
     "p4_found": _SHARED,

@@ -22,6 +22,14 @@ def test_query(spark, name):
     assert said.startswith(("equal", "rows only")), said
 
 
+@pytest.mark.skipif(not Path(DATA).exists(), reason="no test tables")
+@pytest.mark.parametrize("kind", ["empty", "nulls"])
+def test_empty_tables_nulls_and_repeated_rows(spark, odd_tables, kind):
+    for name in [*preparation.QUERIES, "intake_account", "message_echoes", "quote_checks", "chunk_pack", "marked_ledger", "note_problems"]:
+        said = compare(spark, str(odd_tables / kind), name)
+        assert said.startswith(("equal", "rows only")), (name, said)
+
+
 def test_core_does_without_llm():
     for f in (ROOT / "threadmill").rglob("*.py"):
         if "llm" not in f.parts:

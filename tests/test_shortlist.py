@@ -63,4 +63,3 @@ def test_config(tmp_path):
         cfg = config.load(str(f))
     assert cfg.owner == "Ann" and cfg.min_user_words == 9 and cfg.top == 3 and cfg.weights["own_voice"] == 2.0 and cfg.weights["turn_depth"] == 0.6
     assert list(cfg.topics) == ["only"] and cfg.paths["notes"] == str(tmp_path / "n")
-    assert config.link("s", "a|b") == "[[s\\|a\\|b]]" and config.link("s", "t", "p/", "markdown") == "[t](p/s.md)"

@@ -37,7 +37,7 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def latest(conversations: DataFrame) -> DataFrame:
-    """One row per conv_no: the latest export; of equal ones any, as they are the same record."""
+    """One row per conv_no: the latest export; of equal ones any, as they are the same record. A row without conv_no is no conversation."""
     newest = conversations.groupBy("conv_no").agg(F.max("exported_at").alias("exported_at"))
     return conversations.join(newest, ["conv_no", "exported_at"], "left_semi").dropDuplicates(["conv_no"])
 

@@ -71,7 +71,7 @@ def rounded(a: str, b: str, digits: int) -> str:
 
 #: Common table expressions: turns(conv_no, conversation_id, title, create_time, pos, role, text, ts) of the active branches.
 TURNS = f"""
-latest AS (SELECT * FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_no ORDER BY exported_at DESC) = 1),
+latest AS (SELECT * FROM conversations WHERE conv_no IS NOT NULL QUALIFY row_number() OVER (PARTITION BY conv_no ORDER BY exported_at DESC) = 1),
 entry AS (SELECT conv_no, map_entries(mapping) AS es FROM latest WHERE mapping IS NOT NULL),
 node AS (SELECT conv_no, es[i].key AS node_id, es[i].value.parent AS parent, es[i].value.message AS message, i
          FROM (SELECT conv_no, es, unnest(range(1, len(es) + 1)) AS i FROM entry)),

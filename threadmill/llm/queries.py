@@ -129,7 +129,7 @@ node AS (
          lower(trim(role)) IN ('user', 'assistant') AND NOT coalesce(hidden, false) AND content_type IN ('text', 'multimodal_text')
            AND len(list_filter(parts, lambda p: regexp_matches(
              CASE WHEN regexp_matches(p, '^\s*\{') AND json_valid(p) THEN coalesce(json_extract_string(p, '$.text'), '') ELSE p END, '\S'))) > 0 AS turn
-  FROM messages
+  FROM messages WHERE conversation_id IS NOT NULL AND node_id IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY conversation_id, node_id ORDER BY ingested_at DESC) = 1),
 head AS (
   SELECT conversation_id, current_node FROM conv_heads WHERE conversation_id IS NOT NULL

@@ -52,8 +52,9 @@ def index(conversations: DataFrame, cfg: Config | None = None) -> tuple[DataFram
 
 
 def first(conversations: DataFrame, n: int) -> DataFrame:
-    """The first n conversations in the order of the export."""
-    return conversations.orderBy("conv_no", "exported_at").limit(n)
+    """The first n conversations in the order of the export; only their numbers are sorted, not their records."""
+    ids = conversations.select("conv_no").where("conv_no is not null").distinct().orderBy("conv_no").limit(n)
+    return conversations.join(ids, "conv_no", "left_semi")
 
 
 #: Index fields that older indexes lack; without one of them an index is read again from its transcripts.

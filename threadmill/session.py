@@ -30,6 +30,8 @@ def local_session(app: str = "threadmill", cores: str = "8", partitions: int = 8
 
 #: Folders this process made itself, by application; only these are ever removed whole.
 _OWN: dict[str, str] = {}
+#: The parts of shared folders that belong to an application of this process.
+_PARTS: set[str] = set()
 #: Tables that open ``scratch`` blocks remove when they end.
 _SCRATCH: list[list[str]] = []
 
@@ -61,13 +63,20 @@ def hadoop_path(spark: SparkSession, path: str) -> tuple:
 
 
 def scratch_path(spark: SparkSession, kind: str = "tables") -> str:
-    """A new name in the shared folder. What is put there goes when the surrounding ``scratch`` block ends, else when the application ends."""
-    path = f"{shared_dir(spark)}/{kind}/{uuid.uuid4().hex}"
+    """A new name in the application's part of the shared folder.
+
+    What is put there goes when the surrounding ``scratch`` block ends, and all
+    of the part goes when the application ends.
+    """
+    base = f"{shared_dir(spark)}/threadmill-{spark.sparkContext.applicationId}"
+    if base not in _PARTS:
+        fs, part = hadoop_path(spark, base)
+        fs.mkdirs(part)
+        fs.deleteOnExit(part)  # only takes what exists
+        _PARTS.add(base)
+    path = f"{base}/{kind}/{uuid.uuid4().hex}"
     if _SCRATCH:
         _SCRATCH[-1].append(path)
-    else:
-        fs, p = hadoop_path(spark, path)
-        fs.deleteOnExit(p)
     return path
 
 

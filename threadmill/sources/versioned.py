@@ -29,7 +29,7 @@ class Versions:
         self.columns = [c.split()[0] for c in schema.split(", ")]
         self._fs, path = hadoop_path(spark, self.root)
         self._fs.mkdirs(path)
-        self._local = self._fs.getScheme() == "file"
+        self._local = self._fs.getUri().getScheme() == "file"
 
     def _at(self, name: str):
         return hadoop_path(self.spark, f"{self.root}/{name}")[1]

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.parts import part_text
+from threadmill.functions.text import part_text
 
 KINDS = ("email", "phone", "national_id", "street_address", "person_name")
 PRIORITY = {k: i for i, k in enumerate(("email", "account", "national_id", "phone", "street_address", "person_name"))}

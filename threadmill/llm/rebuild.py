@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadmill.llm.parts import part_text_column
+from threadmill.functions.text import part_text_column
 from threadmill.session import cut
 
 BLOCK = 2048
